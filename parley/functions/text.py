@@ -29,7 +29,9 @@ URL = r"https?://" + NON_WS + r"+|www\." + NON_WS + r"+"
 ALNUM_ASCII = r"[a-zA-Z0-9]"
 # Entity subset decoded by default; '&amp;' goes last so one pass is kept.
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-            ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&amp;", "&")]
+            ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"),
+            ("&middot;", "\u00b7"), ("&hellip;", "\u2026"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"),
+            ("&euro;", "\u20ac"), ("&amp;", "&")]
 
 
 def _c(x) -> Column:
@@ -142,6 +144,24 @@ def safe_ratio(num, den) -> Column:
     return _c(num).cast("double") / F.greatest(F.lit(1), _c(den)).cast("double")
 
 
+def unescape_full(x) -> Column:
+    """F1, full HTML5 entity table (opt-in): Arrow-batched pandas UDF over
+    ``html.unescape``; use only where the common set above is not enough."""
+    return _unescape_full_udf()(_c(x))
+
+
+def _unescape_full_udf():
+    import html
+
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def _unescape(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: html.unescape(v) if isinstance(v, str) else v)
+
+    return _unescape
+
+
 def clamp(x, lo: float, hi: float) -> Column:
     """F16."""
     return F.greatest(F.lit(lo), F.least(F.lit(hi), _c(x)))

@@ -22,6 +22,7 @@ def build_session(master: str | None = None, app: str = "parley", shuffle_partit
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("PARLEY_DRIVER_MEMORY", "16g")))
     for k, v in (extra or {}).items():
         b = b.config(k, v)

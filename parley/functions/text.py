@@ -136,6 +136,8 @@ def word_regex(words) -> str:
 
 def matches_words(x, words) -> Column:
     """P10: case-insensitive whole-word match, null-safe (null -> False)."""
+    if not words:
+        return F.lit(False)
     return F.coalesce(F.lower(_c(x)).rlike(word_regex(words)), F.lit(False))
 
 

@@ -3,6 +3,7 @@ extraction, keyword rules, the rule labeller and grouped breakdowns."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from parley.functions import text as tx
@@ -26,10 +27,10 @@ def user_turns(spark, d):
 
 
 def theme_share(df, label_col):
-    total = df.groupBy().count().withColumnRenamed("count", "__total")
+    """Count and share per label; the share window runs over the grouped table (one row per label)."""
     counts = df.groupBy(F.col(label_col).alias("theme")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.crossJoin(total).select(  # one-row total: a broadcast scalar, not a pair explosion
-        "theme", "n", F.round(100.0 * F.col("n") / F.greatest(F.lit(1), F.col("__total")), 2).alias("pct"))
+    total = F.sum("n").over(Window.partitionBy())
+    return counts.select("theme", "n", F.round(100.0 * F.col("n") / F.greatest(F.lit(1), total), 2).alias("pct"))
 
 
 def theme_share_sql(src, expr):

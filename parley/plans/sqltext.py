@@ -57,6 +57,8 @@ def contains_any(e: str, words) -> str:
 
 
 def matches_words(e: str, words) -> str:
+    if not words:
+        return "false"
     return f"coalesce(regexp_matches(lower({e}), {q(tx.word_regex(words))}), false)"
 
 

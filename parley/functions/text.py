@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -155,8 +157,6 @@ def unescape_full(x) -> Column:
 def _unescape_full_udf():
     import html
 
-    import pandas as pd
-
     @F.pandas_udf("string")
     def _unescape(s: pd.Series) -> pd.Series:
         return s.map(lambda v: html.unescape(v) if isinstance(v, str) else v)

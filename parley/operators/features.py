@@ -76,19 +76,21 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str, spec: TfidfSpec) ->
                .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def fit_vocabulary(tf: DataFrame, n_docs: int, spec: TfidfSpec) -> DataFrame:
-    """(term, df, idf) for the kept vocabulary."""
+def fit_vocabulary(tf: DataFrame, n_docs: DataFrame, spec: TfidfSpec) -> DataFrame:
+    """(term, df, idf) for the kept vocabulary. ``n_docs`` is a one-row frame
+    (column ``n``) joined in as a scalar, so the document count is part of the plan."""
     stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
-    max_df_docs = spec.max_df * n_docs
-    kept = stats.filter((F.col("df") >= spec.min_df) & (F.col("df") <= F.lit(max_df_docs)))
+    n = F.broadcast(n_docs.select(F.col("n").alias("__n"), F.lit(1).alias("__k")))   # exactly one row
+    stats = stats.withColumn("__k", F.lit(1)).join(n, "__k").drop("__k")
+    kept = stats.filter((F.col("df") >= spec.min_df) & (F.col("df") <= spec.max_df * F.col("__n")))
     if spec.max_features is not None:
         kept = kept.orderBy(F.desc("cf"), "term").limit(spec.max_features)
-    return kept.select("term", "df", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    return kept.select("term", "df", (F.log((1.0 + F.col("__n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
 
 
 def transform(tf: DataFrame, vocab: DataFrame, spec: TfidfSpec) -> DataFrame:
     """(id, term, weight), L2-normalised per id; out-of-vocabulary terms dropped."""
-    v = checked_broadcast(vocab.select("term", "idf"))
+    v = checked_broadcast(vocab.select("term", "idf"), spec.max_features)
     raw = (F.lit(1.0) + F.log(F.col("tf"))) if spec.sublinear_tf else F.col("tf").cast("double")
     w = tf.join(v, "term").select("id", "term", (raw * F.col("idf")).alias("w"))
     norms = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -97,7 +99,7 @@ def transform(tf: DataFrame, vocab: DataFrame, spec: TfidfSpec) -> DataFrame:
 
 def tfidf(docs: DataFrame, id_col: str, text_col: str, spec: TfidfSpec = TfidfSpec()):
     """M1: fit on ``docs`` and return (weights, vocabulary)."""
-    n_docs = docs.count()
+    n_docs = docs.agg(F.count(F.lit(1)).alias("n"))
     tf = term_counts(docs, id_col, text_col, spec)
     vocab = fit_vocabulary(tf, n_docs, spec)
     return transform(tf, vocab, spec), vocab

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -193,8 +194,6 @@ def spearman_p_value(rho: float, n: int) -> float:
 
 def with_p_value(rho_df: DataFrame) -> DataFrame:
     """Adds ``p_value`` to a (n, rho) frame with an Arrow-batched UDF (one row)."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def _p(r: pd.Series, n: pd.Series) -> pd.Series:
         return pd.Series([spearman_p_value(float(a), int(b)) for a, b in zip(r, n)])

@@ -83,12 +83,14 @@ def dense_search(kb: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
                  vec_col: str = "embedding", qid_col: str = "qid", qvec_col: str = "qvec",
                  max_block: int = 2048) -> DataFrame:
     """M7a exact top-k by inner product -> (qid, id, similarity, rank)."""
-    n_q = queries.count()
-    blocks = max(1, math.ceil(n_q / max_block))
+    first = queries.select(qid_col, qvec_col).limit(max_block + 1).collect()   # size check, bounded fetch
+    blocks = 1 if len(first) <= max_block else max(2, math.ceil(queries.count() / max_block))
     out = None
     for b in range(blocks):   # a loop over query blocks, each one distributed scan of the KB
-        qb = queries if blocks == 1 else queries.filter(F.pmod(F.hash(qid_col), F.lit(blocks)) == b)
-        rows = qb.select(qid_col, qvec_col).collect()   # <= max_block rows: a checked-size block
+        if blocks == 1:
+            rows = first
+        else:   # hash blocks average max_block rows
+            rows = queries.filter(F.pmod(F.hash(qid_col), F.lit(blocks)) == b).select(qid_col, qvec_col).collect()
         if not rows:
             continue
         qids = np.array([r[0] for r in rows], dtype=np.int64)

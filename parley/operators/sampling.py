@@ -31,7 +31,8 @@ def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank",
-                group: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                group: str | None = None, num_partitions: int | None = None,
+                keep_total: bool = False) -> DataFrame:
     """Exact 1-based rank of every row under the total order ``order`` (within
     ``group`` when given), computed without a single-partition window.
 
@@ -49,33 +50,35 @@ def global_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank",
     # One row per (partition, group) run: bounded by partitions + groups.
     counts = staged.groupBy("__pid", *gcols).agg(F.count(F.lit(1)).alias("__cnt"), F.min("__mid").alias("__base"))
     w = Window.partitionBy(*gcols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("__pid", *gcols, "__base", F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"))
-    out = staged.join(checked_broadcast(offs), ["__pid", *gcols])
-    return (out.withColumn(rank_col, F.col("__off") + F.col("__mid") - F.col("__base") + 1)
-               .drop("__pid", "__mid", "__base", "__off"))
+    offs = counts.select("__pid", *gcols, "__base", F.coalesce(F.sum("__cnt").over(w), F.lit(0)).alias("__off"),
+                         F.sum("__cnt").over(Window.partitionBy(*gcols)).alias("__total"))
+    # ungrouped: one row per partition, a proven bound; grouped: left to AQE
+    out = staged.join(checked_broadcast(offs, None if group else n), ["__pid", *gcols])
+    out = out.withColumn(rank_col, F.col("__off") + F.col("__mid") - F.col("__base") + 1)
+    if not keep_total:
+        out = out.drop("__total")
+    return out.drop("__pid", "__mid", "__base", "__off")
 
 
 def temporal_split(df: DataFrame, ts_col: str, key_col: str, ratio: float = 0.80,
                    split_col: str = "split") -> DataFrame:
     """Oldest ``floor(n * ratio)`` rows (timestamp asc, nulls last, key) -> 'train',
     the rest -> 'eval'."""
-    n = df.count()
-    cut = int(n * ratio)
-    ranked = global_rank(df, [F.col(ts_col).asc_nulls_last(), F.col(key_col).asc()], "__rank")
+    ranked = global_rank(df, [F.col(ts_col).asc_nulls_last(), F.col(key_col).asc()], "__rank", keep_total=True)
+    cut = F.floor(F.col("__total") * ratio)     # the row count comes from the offsets table
     return ranked.withColumn(split_col, F.when(F.col("__rank") <= cut, F.lit("train")).otherwise(F.lit("eval"))) \
-                 .drop("__rank")
+                 .drop("__rank", "__total")
 
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str, ratio: float = 0.80, seed: int = 42,
                      split_col: str = "split") -> DataFrame:
     """Per label, the first ``floor(n_label * ratio)`` rows by ``md5(seed||id)`` -> 'train'."""
     keyed = df.withColumn("__h", hash_key(id_col, seed))
-    ranked = global_rank(keyed, [F.col("__h").asc(), F.col(id_col).asc()], "__rank", group=label_col)
-    sizes = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("__n"))
-    out = ranked.join(checked_broadcast(sizes), label_col)
-    return (out.withColumn(split_col, F.when(F.col("__rank") <= F.floor(F.col("__n") * ratio), F.lit("train"))
-                                        .otherwise(F.lit("test")))
-               .drop("__h", "__rank", "__n"))
+    ranked = global_rank(keyed, [F.col("__h").asc(), F.col(id_col).asc()], "__rank", group=label_col,
+                         keep_total=True)   # __total = rows of this label
+    return (ranked.withColumn(split_col, F.when(F.col("__rank") <= F.floor(F.col("__total") * ratio), F.lit("train"))
+                                           .otherwise(F.lit("test")))
+                  .drop("__h", "__rank", "__total"))
 
 
 def tier_sample(df: DataFrame, group_col: str, quotas: dict, id_col: str, seed: int = 42) -> DataFrame:
@@ -110,7 +113,8 @@ def quota_sample(pool: DataFrame, strata: Sequence[Stratum], id_col: str, seed:
     for i, s in enumerate(strata):
         cand = keyed.filter(s.predicate)
         if taken is not None:
-            cand = cand.join(F.broadcast(taken.select(id_col)), id_col, "left_anti")
+            # taken holds at most sum(quotas) rows: a proven bound
+            cand = cand.join(checked_broadcast(taken.select(id_col), sum(x.quota for x in strata)), id_col, "left_anti")
         pick = (cand.orderBy("__h", id_col).limit(s.quota)
                     .withColumn("stratum", F.lit(i + 1))
                     .withColumn("target_difficulty", F.lit(s.difficulty))

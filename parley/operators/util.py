@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven small; otherwise leave
-    the join strategy to the optimizer (sort-merge / shuffled hash)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def checked_broadcast(df: DataFrame, bound: int | None = None, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` only when ``bound`` -- an upper bound on its rows that holds
+    by construction (a vocabulary capped at max_features, one row per partition,
+    one row per label of a fixed list) -- is small. Without a proven bound no hint
+    is given: AQE measures the side at runtime and broadcasts it only below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, else keeps a shuffle join.
+    No eager count, so nothing is computed twice."""
+    return F.broadcast(df) if bound is not None and bound <= max_rows else df
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:

@@ -128,3 +128,32 @@ def evaluate(judged: DataFrame, truth: DataFrame) -> dict[str, DataFrame]:
         "judge_means": M.score_means(flat, dims),
         "retrieval": retrieval,
     }
+
+
+def evaluation_summary(judged: DataFrame, truth: DataFrame) -> DataFrame:
+    """One-row report in a single aggregate: intent accuracy, retrieval quality
+    (A20 incl. intent alignment), decision counts and rates (A21/A22), mean
+    rubric scores (A23) and mean classifier confidence (A24)."""
+    t = truth.select("msg_id", F.col("intent").alias("true_intent"), "expected_decision")
+    j = judged.join(t, "msg_id")
+    dims = ["relevance", "groundedness", "helpfulness", "style", "unsupported_claims", "overall"]
+    pos_t = F.col("expected_decision") == "escalate"
+    pos_p = F.col("decision") == "escalate"
+    top_intent = F.col("evidence").getItem(0)["intent"]
+    a = j.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.avg((F.col("intent") == F.col("true_intent")).cast("double")), 4).alias("intent_accuracy"),
+        F.round(F.avg("evidence_strength"), 4).alias("mean_top1_similarity"),
+        F.round(F.median("evidence_strength"), 4).alias("median_top1_similarity"),
+        F.round(F.avg(F.coalesce((top_intent == F.col("true_intent")).cast("double"), F.lit(0.0))), 4)
+         .alias("intent_alignment_rate"),
+        F.round(F.avg("confidence"), 4).alias("mean_confidence"),
+        F.count_if(pos_t & pos_p).alias("tp"), F.count_if(~pos_t & pos_p).alias("fp"),
+        F.count_if(pos_t & ~pos_p).alias("fn"), F.count_if(~pos_t & ~pos_p).alias("tn"),
+        *[F.round(F.avg(F.coalesce(F.col(f"judge.{d}"), F.lit(3))), 2).alias(f"mean_{d}") for d in dims])
+    g = lambda x: F.greatest(F.lit(1), x).cast("double")
+    return a.select("*",
+                    F.round((F.col("fn") + F.col("tn")) / g(F.col("n")), 4).alias("automation_rate"),
+                    F.round(F.col("tp") / g(F.col("tp") + F.col("fn")), 4).alias("escalation_recall"),
+                    F.round(F.col("tp") / g(F.col("tp") + F.col("fp")), 4).alias("escalation_precision"),
+                    F.round(F.col("fn") / g(F.col("n")), 4).alias("unsafe_rate"))

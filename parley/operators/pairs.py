@@ -83,6 +83,13 @@ def pair_replies(msgs: DataFrame, brand: str | None = None, min_words: int = 3)
     """Gated, cleaned, deduplicated pairs (keep the earliest per cleaned text pair)."""
     j = joined_pairs(msgs, brand)
     gated = j.filter(reason_from_clean(F.col("customer_message"), F.col("support_response"), min_words) == R_VALID)
+    return keep_first(gated)
+
+
+def keep_first(gated: DataFrame) -> DataFrame:
+    """One pair per (cleaned question, cleaned reply), the earliest by
+    (customer time, customer id, reply time, reply id); a hash aggregate of
+    ``min(struct)`` pre-aggregated map-side, so a hot text pair never lands whole in one task."""
     payload = ["brand", "customer_author_id", "customer_raw_text", "support_raw_text", "created_at",
                "support_created_at"]
     # min(struct) = first by (customer time, customer id, reply time, reply id), nulls last.

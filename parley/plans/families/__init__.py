@@ -1,3 +1,3 @@
 """Registered queries, grouped by the driver tables they read."""
 
-from parley.plans.families import documents, metrics_q, retrieval_q, scoring, splits, streams_q, threads  # noqa: F401
+from parley.plans.families import classify_q, documents, metrics_q, retrieval_q, scoring, splits, streams_q, threads  # noqa: F401

@@ -166,3 +166,25 @@ def q_taxonomy_lookup(spark, d):
     u = user_turns(spark, d).select("conv_id", "turn", R.first_match(F.col("message"), R.HEURISTIC_RULES).alias("intent"))
     return R.with_intent_metadata(u, R.taxonomy_frame(spark)).select(
         "conv_id", "turn", "intent", "risk_level", "default_action")
+
+
+@query("event_props", sql="""
+SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
+def q_event_props(spark, d):
+    """JSON payload parsed with a fixed schema (bad input -> null), every event."""
+    from parley.operators.external import strip_fence
+    ev = table(spark, d, "events")
+    return ev.select("event_id", "event_type", F.from_json(strip_fence("props"), "k bigint")["k"].alias("k"))
+
+
+@query("classify_prompts", sql="""
+SELECT item_id AS id, 'classify' AS kind,
+       'Classify the customer support message into exactly one of these intents: ' ||
+       'abusive, licensed, credential, question, other_support' ||
+       '. Answer with JSON {"intent": ..., "confidence": ...}. Message: ' || coalesce(text, '') AS prompt
+FROM benchmark""")
+def q_classify_prompts(spark, d):
+    """Prompt table for an external classifier, one row per benchmark item."""
+    from parley.operators.external import build_prompts
+    labels = [t for t, _ in DOC_THEMES] + [R.OTHER]
+    return build_prompts(table(spark, d, "benchmark"), "classify", "item_id", "text", labels=labels)

@@ -30,6 +30,8 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = build_session(f"local[{cpus}]", app="parley-bench", shuffle_partitions=cpus * 2)
     reg = load_all()
+    # warm-up outside the timings: JVM start, class loading and JIT of the scan path
+    spark.read.parquet(f"{sf_dir}/region.parquet").write.format("noop").mode("overwrite").save()
     times, rows = {}, {}
     for n in names:
         t0 = time.perf_counter()

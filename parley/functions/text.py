@@ -123,11 +123,13 @@ def has_url(x) -> Column:
 
 
 def contains_any(x, words) -> Column:
-    """Substring match of any keyword in the lower-cased text."""
-    low = F.lower(_c(x))
+    """Substring match of any keyword in the lower-cased text: one regex
+    alternation of literal-quoted keywords (same answer as OR-ed ``contains``,
+    one expression instead of one per keyword)."""
     if not words:
         return F.lit(False)
-    return reduce(lambda a, b: a | b, [low.contains(w) for w in words])
+    pattern = "|".join(r"\Q" + w + r"\E" for w in words)
+    return F.coalesce(F.lower(_c(x)).rlike(pattern), F.lit(False))
 
 
 def word_regex(words) -> str:

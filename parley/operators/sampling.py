@@ -108,14 +108,18 @@ def quota_sample(pool: DataFrame, strata: Sequence[Stratum], id_col: str, seed:
     by hash order. The loop runs over the strata spec (not rows); every stratum is
     a distributed top-k; ``taken`` is bounded by the sum of quotas, so it is a
     proven-small broadcast, and its lineage is cut after every stratum."""
-    keyed = pool.withColumn("__h", hash_key(id_col, seed))
+    # One pass evaluates every stratum predicate; the narrow (id, hash, flags) table is
+    # written once, so the strata below filter booleans instead of re-running text tests.
+    flags = [F.coalesce(st.predicate, F.lit(False)).alias(f"__p{i}") for i, st in enumerate(strata)]
+    keyed = reliable_checkpoint(pool.select(F.col(id_col), hash_key(id_col, seed).alias("__h"), *flags))
+    bound = sum(x.quota for x in strata)
     taken = None
     for i, s in enumerate(strata):
-        cand = keyed.filter(s.predicate)
+        cand = keyed.filter(F.col(f"__p{i}"))
         if taken is not None:
             # taken holds at most sum(quotas) rows: a proven bound
-            cand = cand.join(checked_broadcast(taken.select(id_col), sum(x.quota for x in strata)), id_col, "left_anti")
-        pick = (cand.orderBy("__h", id_col).limit(s.quota)
+            cand = cand.join(checked_broadcast(taken.select(id_col), bound), id_col, "left_anti")
+        pick = (cand.orderBy("__h", id_col).limit(s.quota).select(id_col, "__h")
                     .withColumn("stratum", F.lit(i + 1))
                     .withColumn("target_difficulty", F.lit(s.difficulty))
                     .withColumn("category_tag", F.lit(s.tag)))
@@ -123,4 +127,5 @@ def quota_sample(pool: DataFrame, strata: Sequence[Stratum], id_col: str, seed:
         taken = reliable_checkpoint(taken)
     if cap is not None:
         taken = taken.orderBy("stratum", "__h", id_col).limit(cap)
-    return taken.drop("__h")
+    # carry the pool's other columns for the picked ids (<= sum(quotas) rows on the small side)
+    return pool.join(checked_broadcast(taken.drop("__h"), bound), id_col)

@@ -161,3 +161,33 @@ def q_rank_correlation(spark, d):
     li = table(spark, d, "lineitem").select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
                                             "l_quantity", "l_extendedprice")
     return M.spearman(li, "l_quantity", "l_extendedprice", "id").select("n", F.round("rho", 6).alias("rho"))
+
+
+def _summary_sql(name, src_sql):
+    chain = COUNTS_SQL.replace("cc AS", f"{name}_cc AS").replace("FROM cc", f"FROM {name}_cc") \
+                      .replace("prf AS", f"{name}_prf AS").replace("FROM prf)", f"FROM {name}_prf)") \
+                      .replace("prf2 AS", f"{name}_prf2 AS").replace("FROM src", f"FROM {name}_src")
+    sel = SUMMARY_SELECT.replace("FROM prf2", f"FROM {name}_prf2")
+    return f"{name}_src AS ({src_sql}), {chain}, {name}_sum AS ({sel})"
+
+
+METRIC_NAMES = ["accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_precision",
+                "weighted_recall", "weighted_f1"]
+
+
+@query("model_comparison", sql=f"""
+WITH {TOX_SQL},
+maj AS (SELECT y AS m FROM tox GROUP BY y ORDER BY count(*) DESC, y LIMIT 1),
+{_summary_sql('a', 'SELECT y, p FROM tox')},
+{_summary_sql('b', 'SELECT tox.y, maj.m AS p FROM tox, maj')},
+l AS ({" UNION ALL ".join(f"SELECT '{m}' AS metric, (SELECT round({m}, 6) FROM a_sum) AS keyword_rule, (SELECT round({m}, 6) FROM b_sum) AS majority" for m in METRIC_NAMES)})
+SELECT * FROM l""")
+def q_model_comparison(spark, d):
+    """Keyword rule vs majority baseline on labelled documents, metrics side by side (pivot)."""
+    t = _tox_pairs(spark, d)
+    mode = M.majority_label(t, "y").first()[0]
+    a = M.summary(t, "y", "p").withColumn("model", F.lit("keyword_rule"))
+    b = M.summary(t.withColumn("p", F.lit(mode)), "y", "p").withColumn("model", F.lit("majority"))
+    long = a.unionByName(b).unpivot("model", METRIC_NAMES, "metric", "value")
+    return (long.groupBy("metric").pivot("model", ["keyword_rule", "majority"])
+                .agg(F.round(F.first("value"), 6)))

@@ -149,3 +149,19 @@ SELECT * FROM s WHERE sample_rank <= 5""")
 def q_brand_samples(spark, d):
     """First five texts per listed brand."""
     return PR.brand_samples(messages(spark, d, with_responses=False), _notes(spark), 5)
+
+
+@query("distinct_parents", sql=f"""
+WITH tv AS ({S.THREAD_VIEW})
+SELECT count(*) AS n_replies, count(DISTINCT in_response_to_tweet_id) AS n_parents FROM tv
+WHERE NOT inbound AND in_response_to_tweet_id IS NOT NULL""")
+def q_distinct_parents(spark, d):
+    """Replies with a parent and the distinct parents they answer."""
+    r = P.brand_replies(messages(spark, d, with_responses=False))
+    return r.agg(F.count(F.lit(1)).alias("n_replies"), F.count_distinct("parent_id").alias("n_parents"))
+
+
+@query("input_size", sql=None)
+def q_input_size(spark, d):
+    """Files and megabytes behind the message source (file metadata, one scan)."""
+    return PR.file_sizes(table(spark, d, "conversations"))

@@ -89,8 +89,10 @@ def score(messages: DataFrame, kb: DataFrame, index=None, cfg: ScoringConfig = S
     strength = F.coalesce(F.col("evidence").getItem(0)["similarity"], F.lit(0.0))
     s = s.withColumn("evidence_strength", strength)
     s = s.withColumn("draft", RS.draft_reply("evidence"))
-    s = s.withColumn("esc", R.escalation(F.col("message"), F.col("pred.intent"), F.col("pred.confidence"),
-                                         F.col("evidence_strength"), cfg.policy))
+    s = s.withColumn("trigger", R.escalation_trigger(F.col("message"), F.col("pred.intent"), F.col("pred.confidence"),
+                                                     F.col("evidence_strength"), cfg.policy))
+    s = s.withColumn("esc", R.escalation_from_trigger("trigger", F.col("pred.intent"), F.col("pred.confidence"),
+                                                      F.col("evidence_strength"), cfg.policy))
     return s.select(
         "msg_id", "message", "clean_message",
         F.col("pred.intent").alias("intent"), F.col("pred.confidence").alias("confidence"),
@@ -99,13 +101,14 @@ def score(messages: DataFrame, kb: DataFrame, index=None, cfg: ScoringConfig = S
         F.col("draft.reply").alias("reply"), F.col("draft.grounding_summary").alias("grounding_summary"),
         F.col("draft.confidence").alias("reply_confidence"), F.col("draft.mode").alias("reply_mode"),
         F.col("esc.decision").alias("decision"), F.col("esc.reason").alias("reason"),
-        F.col("esc.risk_level").alias("risk_level"), F.col("esc.trigger").alias("trigger"))
+        F.col("esc.risk_level").alias("risk_level"), "trigger")
 
 
 def judge_scored(scored: DataFrame) -> DataFrame:
     """R8 over scored rows (the judge reads the raw message, as the reference does)."""
-    j = RS.judge(F.col("message"), F.col("reply"), F.col("evidence"))
-    return scored.withColumn("judge", j)
+    with_sets = RS.judge_inputs(scored, "message", "reply", "evidence")
+    return with_sets.withColumn("judge", RS.judge_from_sets("reply")).drop("__reply_words", "__cust_words",
+                                                                          "__ev_words")
 
 
 def evaluate(judged: DataFrame, truth: DataFrame) -> dict[str, DataFrame]:

@@ -122,14 +122,20 @@ def has_url(x) -> Column:
     return _c(x).rlike(URL)
 
 
-def contains_any(x, words) -> Column:
-    """Substring match of any keyword in the lower-cased text: one regex
-    alternation of literal-quoted keywords (same answer as OR-ed ``contains``,
-    one expression instead of one per keyword)."""
+def contains_any(x, words, regex: bool = False) -> Column:
+    """Substring match of any keyword in the lower-cased text.
+
+    Default: OR-ed ``contains`` (a JVM indexOf per keyword; fastest on long texts).
+    ``regex=True``: one alternation of literal-quoted keywords, same answer, one
+    expression -- for short texts given as long expressions, where the OR form
+    would copy the expression once per keyword into the generated code."""
     if not words:
         return F.lit(False)
-    pattern = "|".join(r"\Q" + w + r"\E" for w in words)
-    return F.coalesce(F.lower(_c(x)).rlike(pattern), F.lit(False))
+    if regex:
+        pattern = "|".join(r"\Q" + w + r"\E" for w in words)
+        return F.coalesce(F.lower(_c(x)).rlike(pattern), F.lit(False))
+    low = F.lower(_c(x))
+    return F.coalesce(reduce(lambda a, b: a | b, [low.contains(w) for w in words]), F.lit(False))
 
 
 def word_regex(words) -> str:

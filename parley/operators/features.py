@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,7 +101,9 @@ def transform(tf: DataFrame, vocab: DataFrame, spec: TfidfSpec) -> DataFrame:
 def tfidf(docs: DataFrame, id_col: str, text_col: str, spec: TfidfSpec = TfidfSpec()):
     """M1: fit on ``docs`` and return (weights, vocabulary)."""
     n_docs = docs.agg(F.count(F.lit(1)).alias("n"))
-    tf = term_counts(docs, id_col, text_col, spec)
+    # read three times (vocabulary statistics, weights, norms): tokenise once. Memory
+    # and disk; a lost executor's blocks are rebuilt from lineage.
+    tf = term_counts(docs, id_col, text_col, spec).persist(StorageLevel.MEMORY_AND_DISK)
     vocab = fit_vocabulary(tf, n_docs, spec)
     return transform(tf, vocab, spec), vocab
 

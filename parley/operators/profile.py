@@ -65,19 +65,21 @@ def length_stats(msgs: DataFrame, col: str = "text") -> DataFrame:
         F.max(ln).alias("max_len"))
 
 
-def brand_counts(msgs: DataFrame, notes: DataFrame) -> DataFrame:
+def brand_counts(msgs: DataFrame, notes: DataFrame, notes_rows: int | None = None) -> DataFrame:
     """Messages per listed brand, zero for brands that never post.
 
-    ``notes(brand, note)`` is the caller's small list; it drives the output."""
+    ``notes(brand, note)`` is the caller's list; ``notes_rows`` (its known size)
+    lets the semi-join broadcast it instead of shuffling every message."""
     names = notes.select("brand")
-    counts = (msgs.join(checked_broadcast(names), msgs.author_id == names.brand, "left_semi")
+    counts = (msgs.join(checked_broadcast(names, notes_rows), msgs.author_id == names.brand, "left_semi")
                   .groupBy(F.col("author_id").alias("brand"))
                   .agg(F.count(F.lit(1)).alias("n_messages")))
     return (notes.join(counts, "brand", "left")
                  .select("brand", "note", F.coalesce("n_messages", F.lit(0)).cast("bigint").alias("n_messages")))
 
 
-def brand_samples(msgs: DataFrame, brands: DataFrame, k: int = 5, order_col: str = "tweet_id") -> DataFrame:
+def brand_samples(msgs: DataFrame, brands: DataFrame, k: int = 5, order_col: str = "tweet_id",
+                  brands_rows: int | None = None) -> DataFrame:
     """The first ``k`` non-null texts per listed brand.
 
     ``row_number() <= k`` is planned as WindowGroupLimit, which keeps k rows per
@@ -85,7 +87,7 @@ def brand_samples(msgs: DataFrame, brands: DataFrame, k: int = 5, order_col: str
     k rows per task."""
     names = brands.select("brand")
     src = (msgs.filter(F.col("text").isNotNull())
-               .join(checked_broadcast(names), msgs.author_id == names.brand, "left_semi"))
+               .join(checked_broadcast(names, brands_rows), msgs.author_id == names.brand, "left_semi"))
     w = Window.partitionBy("author_id").orderBy(F.col(order_col).cast("bigint"), F.col(order_col))
     return (src.withColumn("sample_rank", F.row_number().over(w))
                .filter(F.col("sample_rank") <= k)

@@ -118,7 +118,7 @@ def label_centroids(df: DataFrame, label_col: str = "label", vec_col: str = "emb
 
 
 def nearest_label(df: DataFrame, centroids: DataFrame, label_col: str = "label", vec_col: str = "embedding",
-                  id_col: str = "vec_id", max_labels: int = 100_000) -> DataFrame:
+                  id_col: str = "vec_id", max_labels: int = 10_000) -> DataFrame:
     """kNN-style vote by centroid: every row gets the label of the closest centroid
     (ties to the smaller label). The centroid table is one row per label, size-checked."""
     rows = centroids.orderBy(label_col).limit(max_labels + 1).collect()

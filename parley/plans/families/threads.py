@@ -137,7 +137,7 @@ WITH tv AS ({S.THREAD_VIEW}), c AS (SELECT author_id AS brand, count(*) AS n FRO
 SELECT notes.brand, notes.note, coalesce(c.n, 0) AS n_messages FROM {_notes_sql()} LEFT JOIN c ON c.brand = notes.brand""")
 def q_brand_counts(spark, d):
     """Messages per listed brand including brands with none."""
-    return PR.brand_counts(messages(spark, d, with_responses=False), _notes(spark))
+    return PR.brand_counts(messages(spark, d, with_responses=False), _notes(spark), len(BRAND_NOTES))
 
 
 @query("brand_samples", sql=f"""
@@ -148,7 +148,7 @@ s AS (SELECT author_id AS brand, CAST(row_number() OVER (PARTITION BY author_id
 SELECT * FROM s WHERE sample_rank <= 5""")
 def q_brand_samples(spark, d):
     """First five texts per listed brand."""
-    return PR.brand_samples(messages(spark, d, with_responses=False), _notes(spark), 5)
+    return PR.brand_samples(messages(spark, d, with_responses=False), _notes(spark), 5, brands_rows=len(BRAND_NOTES))
 
 
 @query("distinct_parents", sql=f"""

@@ -46,7 +46,7 @@ def split_cases(pairs: DataFrame, ratio: float = 0.80) -> DataFrame:
 
 def tag_intents(df: DataFrame, text_col: str, out: str = "intent", rules=R.HEURISTIC_RULES) -> DataFrame:
     """T3 fix: give knowledge-base cases an intent before indexing (rule fallback)."""
-    return df.withColumn(out, R.first_match(tx.clean_customer(F.col(text_col)), rules))
+    return df.withColumn(out, R.first_match(tx.clean_customer(F.col(text_col)), rules, regex=True))
 
 
 def build_index(kb: DataFrame, spec: FT.TfidfSpec = RETRIEVAL_SPEC):
@@ -81,7 +81,9 @@ def score(messages: DataFrame, kb: DataFrame, index=None, cfg: ScoringConfig = S
     m = messages.select("msg_id", "message", tx.clean_customer(F.col("message")).alias("clean_message"))
     # the classifier cleans its input again (not idempotent: kept as the reference does it)
     m = m.withColumn("cls_text", tx.clean_customer(F.col("clean_message")))
-    m = m.withColumn("pred", R.gated_prediction(F.col("cls_text"), model_pred, rules=list(cfg.heuristic_rules)))
+    # regex form of the keyword rules: the cleaned text is an inlined expression here
+    m = m.withColumn("pred", R.gated_prediction(F.col("cls_text"), model_pred, rules=list(cfg.heuristic_rules),
+                                                regex=True))
     m = m.withColumn("pred_intent", F.col("pred.intent"))
     ev = retrieve(m, kb, index, cfg)
     s = m.join(ev, "msg_id", "left").withColumn(

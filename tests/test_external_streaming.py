@@ -35,3 +35,14 @@ def test_hourly_stream_equals_batch(spark):
 def test_to_json_lines(spark):
     df = spark.createDataFrame([(1, "a")], "id long, v string")
     assert X.to_json_lines(df).first()["json"] == '{"id":1,"v":"a"}'
+
+
+def test_read_query_file_shapes(spark, tmp_path):
+    import json
+    from parley.sources.tables import read_query_file
+    a = tmp_path / "a.json"
+    a.write_text(json.dumps([{"id": "q1", "text": "my music stops"}, {"id": "q2", "text": "charged twice"}]))
+    b = tmp_path / "b.json"
+    b.write_text(json.dumps({"queries": [{"id": "q3", "text": "cancel please"}]}))
+    assert sorted(r["id"] for r in read_query_file(spark, str(a)).collect()) == ["q1", "q2"]
+    assert [r["id"] for r in read_query_file(spark, str(b)).collect()] == ["q3"]

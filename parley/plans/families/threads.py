@@ -165,3 +165,18 @@ def q_distinct_parents(spark, d):
 def q_input_size(spark, d):
     """Files and megabytes behind the message source (file metadata, one scan)."""
     return PR.file_sizes(table(spark, d, "conversations"))
+
+
+@query("csv_roundtrip_pairs", sql=f"""
+WITH {S.PAIRS_CTE}
+SELECT case_id, customer_message, support_response FROM pairs""")
+def q_csv_roundtrip_pairs(spark, d):
+    """Raw messages written as quoted multi-line CSV (shared folder), read back
+    all-string with an explicit schema, typed, and paired -- same pairs as from Parquet."""
+    from parley.sources.tables import RAW_MESSAGES, read_table, typed_messages
+    from parley.streaming.streams import stream_root
+    path = stream_root(spark, "csv") + "/messages"
+    raw = thread_view(table(spark, d, "conversations"), with_responses=False)
+    raw.write.mode("overwrite").option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    back = read_table(spark, path, "csv", RAW_MESSAGES)
+    return P.pair_replies(typed_messages(back)).select("case_id", "customer_message", "support_response")

@@ -69,8 +69,12 @@ def term_counts(docs: DataFrame, id_col: str, text_col: str, spec: TfidfSpec) ->
     """(id, term, tf) for every document.
 
     Tokens are projected first and the n-gram lambda reads that column, so the
-    tokenizing regexp runs once per document, not once per n-gram position."""
-    tok = docs.select(F.col(id_col).alias("id"),
+    tokenizing regexp runs once per document, not once per n-gram position.
+    Documents are hash-partitioned by id before the explode: the raw text moves
+    once (ids are unique, no hot key) and the (id, term) counts, the per-document
+    norms and the weight/norm join downstream all reuse that partitioning instead
+    of shuffling the exploded n-grams (several times the text size)."""
+    tok = docs.repartition(F.col(id_col)).select(F.col(id_col).alias("id"),
                       tokens(text_col, list(spec.stop_words) if spec.stop_words else None).alias("tok"))
     return (tok.select("id", F.explode(ngrams("tok", spec.n_min, spec.n_max)).alias("term"))
                .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")))

@@ -21,7 +21,7 @@ RAW_MESSAGES = T.StructType([T.StructField(c, T.StringType(), True) for c in (
 
 # Fixed value: thread-view clock origin and the Twitter timestamp layout.
 THREAD_EPOCH = "2017-10-01 00:00:00"
-TWITTER_FORMAT = "EEE MMM dd HH:mm:ss Z yyyy"
+TWITTER_FORMAT = "EEE MMM dd HH:mm:ss '+0000' yyyy"   # rendered from a UTC wall clock (no zone lookup)
 TWITTER_PARSE_FORMAT = "MMM dd HH:mm:ss Z yyyy"   # weekday dropped: Spark refuses to parse EEE
 
 
@@ -71,7 +71,7 @@ def thread_view(conversations: DataFrame, n_brands: int = 5, with_responses: boo
         F.when(c.role == "assistant", F.concat(F.lit("brand"), (c.conv_id % n_brands).cast("string")))
          .otherwise(F.concat(F.lit("cust"), c.conv_id.cast("string"))).alias("author_id"),
         F.when(c.role == "user", F.lit("True")).otherwise(F.lit("False")).alias("inbound"),
-        F.date_format(F.timestamp_add("MINUTE", tid, F.to_timestamp(F.lit(THREAD_EPOCH))),
+        F.date_format(F.timestamp_add("MINUTE", tid, F.to_timestamp_ntz(F.lit(THREAD_EPOCH))),
                       TWITTER_FORMAT).alias("created_at"),
         "text",
         F.when(c.turn > 0, (tid - 1).cast("string")).alias("in_response_to_tweet_id"),

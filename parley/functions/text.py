@@ -172,6 +172,17 @@ def _unescape_full_udf():
     return _unescape
 
 
+def truncate(x, n: int = 120) -> Column:
+    """first ``n`` characters."""
+    return F.substring(_c(x), 1, n)
+
+
+def choice(x, mapping: dict, default=None) -> Column:
+    """Dictionary-coded value lookup with a default (map literal)."""
+    m = F.create_map(*[v for k, val in mapping.items() for v in (F.lit(k), F.lit(val))])
+    return F.coalesce(m[_c(x)], F.lit(default))
+
+
 def clamp(x, lo: float, hi: float) -> Column:
     """F16."""
     return F.greatest(F.lit(lo), F.least(F.lit(hi), _c(x)))

@@ -162,3 +162,22 @@ def evaluation_summary(judged: DataFrame, truth: DataFrame) -> DataFrame:
                     F.round(F.col("tp") / g(F.col("tp") + F.col("fn")), 4).alias("escalation_recall"),
                     F.round(F.col("tp") / g(F.col("tp") + F.col("fp")), 4).alias("escalation_precision"),
                     F.round(F.col("fn") / g(F.col("n")), 4).alias("unsafe_rate"))
+
+
+def write_index(kb: DataFrame, index, path: str) -> None:
+    """The knowledge base with its term weights, partitioned by intent, so an
+    intent-restricted search reads only that intent's files (partition pruning)."""
+    kbw, vocab = index
+    meta = kb.select(F.col("case_id").alias("id"), "intent", "customer_message", "support_response")
+    kbw.join(meta.select("id", "intent"), "id").write.mode("overwrite").partitionBy("intent").parquet(f"{path}/weights")
+    meta.write.mode("overwrite").partitionBy("intent").parquet(f"{path}/cases")
+    vocab.write.mode("overwrite").parquet(f"{path}/vocab")
+
+
+def read_index(spark, path: str, intent: str | None = None):
+    """(weights, vocabulary, cases); ``intent`` prunes partitions at the scan."""
+    w = spark.read.parquet(f"{path}/weights")
+    c = spark.read.parquet(f"{path}/cases")
+    if intent is not None:
+        w, c = w.filter(F.col("intent") == intent), c.filter(F.col("intent") == intent)
+    return w.drop("intent"), spark.read.parquet(f"{path}/vocab"), c

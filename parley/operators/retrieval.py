@@ -1,10 +1,9 @@
 """Exact nearest-neighbour search and intent-first rerank.
 
 * Sparse (TF-IDF cosine): an equi-join on ``term`` between the knowledge-base
-  weights and the query weights, ``sum(wq * wd)`` per (query, case), then a
-  per-query top-k. The query side is broadcast only behind a row-count check;
-  beyond it the optimizer's shuffle join takes over. Partial sums are computed
-  map-side (the KB side is already clustered by case id).
+  weights and a broadcast block of query weights (row count checked, blocks
+  above the limit processed one after another), ``sum(wq * wd)`` per (query,
+  case) with map-side partial sums, then a per-query top-k.
 * Dense (inner product on unit vectors): the KB is scanned once with
   ``mapInPandas``; each task multiplies its Arrow batches by the query block
   (numpy) and keeps only a per-task top-k per query, so no pair is ever a row.
@@ -25,17 +24,31 @@ from parley.operators.util import checked_broadcast
 OTHER = "other_support"
 
 
-def sparse_search(kb_weights: DataFrame, q_weights: DataFrame, k: int = 3, digits: int | None = None) -> DataFrame:
+def sparse_search(kb_weights: DataFrame, q_weights: DataFrame, k: int = 3, digits: int | None = None,
+                  max_block_rows: int = 200_000) -> DataFrame:
     """Top-k cases per query by cosine of L2-normalised TF-IDF vectors.
 
     kb_weights(id, term, weight), q_weights(qid, term, weight) ->
     (qid, id, similarity, rank). ``digits`` rounds scores before ranking so exact
-    duplicates tie regardless of summation order."""
-    q = checked_broadcast(q_weights.select("qid", "term", F.col("weight").alias("wq")))
-    sim = F.sum(F.col("weight") * F.col("wq"))
-    scores = (kb_weights.join(q, "term")
-                        .groupBy("qid", "id").agg((F.round(sim, digits) if digits else sim).alias("similarity")))
-    return top_k(scores, "qid", "similarity", "id", k)
+    duplicates tie regardless of summation order.
+
+    The query weights are always broadcast, in blocks of at most ``max_block_rows``
+    rows (their size is counted first): each KB row then meets at most one block's
+    queries for its term, so a hot term never turns into a task holding every
+    (query, case) pair. Blocks are disjoint sets of queries, so each block's top-k
+    is final and the results are unioned."""
+    q = q_weights.select("qid", "term", F.col("weight").alias("wq"))
+    n_rows = q.count()
+    blocks = max(1, math.ceil(n_rows / max_block_rows))
+    out = None
+    for b in range(blocks):   # a loop over query blocks, each one distributed scan of the KB
+        qb = q if blocks == 1 else q.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
+        sim = F.sum(F.col("weight") * F.col("wq"))
+        scores = (kb_weights.join(F.broadcast(qb), "term")
+                            .groupBy("qid", "id").agg((F.round(sim, digits) if digits else sim).alias("similarity")))
+        res = top_k(scores, "qid", "similarity", "id", k)
+        out = res if out is None else out.unionByName(res)
+    return out
 
 
 def top_k(scores: DataFrame, qid: str, score: str, key: str, k: int, rank_col: str = "rank") -> DataFrame:

@@ -19,7 +19,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.operators.util import checked_broadcast
 
 OTHER = "other_support"
 

@@ -199,3 +199,18 @@ def with_p_value(rho_df: DataFrame) -> DataFrame:
         return pd.Series([spearman_p_value(float(a), int(b)) for a, b in zip(r, n)])
 
     return rho_df.withColumn("p_value", _p(F.col("rho"), F.col("n")))
+
+
+def agreement_report(df: DataFrame, human: str, judge: str, id_col: str) -> DataFrame:
+    """A25 + A26 in one aggregate over the rank-annotated rows: exact / within-one
+    rates, MAE and Spearman rho (no join of separate one-row results)."""
+    ra = average_ranks(df.select(id_col, human, judge), human, id_col, "__ra")
+    rb = average_ranks(ra, judge, id_col, "__rb")
+    d = F.abs(F.col(human) - F.col(judge))
+    rho = F.coalesce(F.try_divide(F.covar_pop("__ra", "__rb"),
+                                  F.stddev_pop("__ra") * F.stddev_pop("__rb")), F.lit(0.0))
+    return rb.agg(F.count(F.lit(1)).alias("n"),
+                  F.round(F.avg((d == 0).cast("double")), 4).alias("exact_rate"),
+                  F.round(F.avg((d <= 1).cast("double")), 4).alias("within_one_rate"),
+                  F.round(F.avg(d.cast("double")), 4).alias("mae"),
+                  F.round(rho, 6).alias("rho"))

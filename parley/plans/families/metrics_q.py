@@ -147,9 +147,7 @@ def q_rater_agreement(spark, d):
     """Labelled quality vs a rule score: exact, within-one, MAE, Spearman rho."""
     t = _tox_pairs(spark, d).select("doc_id", F.col("quality").alias("human"),
                                     F.when(F.col("p") == "1", F.lit(0)).otherwise(F.lit(1)).alias("judge"))
-    a = M.agreement(t, "human", "judge")
-    r = M.spearman(t, "human", "judge", "doc_id").select(F.round("rho", 6).alias("rho"))
-    return a.join(r)  # two one-row aggregates side by side
+    return M.agreement_report(t, "human", "judge", "doc_id")
 
 
 @query("rank_correlation", sql=f"""

@@ -24,7 +24,7 @@ OTHER = "other_support"
 
 
 def sparse_search(kb_weights: DataFrame, q_weights: DataFrame, k: int = 3, digits: int | None = None,
-                  max_block_rows: int = 200_000) -> DataFrame:
+                  max_block_rows: int = 200_000, q_rows_bound: int | None = None) -> DataFrame:
     """Top-k cases per query by cosine of L2-normalised TF-IDF vectors.
 
     kb_weights(id, term, weight), q_weights(qid, term, weight) ->
@@ -35,9 +35,11 @@ def sparse_search(kb_weights: DataFrame, q_weights: DataFrame, k: int = 3, digit
     rows (their size is counted first): each KB row then meets at most one block's
     queries for its term, so a hot term never turns into a task holding every
     (query, case) pair. Blocks are disjoint sets of queries, so each block's top-k
-    is final and the results are unioned."""
+    is final and the results are unioned. ``q_rows_bound`` (e.g. the query-side
+    term-count rows, which need no vocabulary) spares counting the weights, whose
+    computation would pull the knowledge-base vocabulary into an extra job."""
     q = q_weights.select("qid", "term", F.col("weight").alias("wq"))
-    n_rows = q.count()
+    n_rows = q_rows_bound if q_rows_bound is not None else q.count()
     blocks = max(1, math.ceil(n_rows / max_block_rows))
     out = None
     for b in range(blocks):   # a loop over query blocks, each one distributed scan of the KB

@@ -94,7 +94,7 @@ def _sparse_candidates(spark, d, k):
     bench = table(spark, d, "benchmark").select("item_id", "text")
     qtf = FT.term_counts(bench, "item_id", "text", RETRIEVAL)
     qw = FT.transform(qtf, vocab, RETRIEVAL).withColumnRenamed("id", "qid")
-    return RT.sparse_search(w, qw, k, digits=9)
+    return RT.sparse_search(w, qw, k, digits=9, q_rows_bound=qtf.count())
 
 
 SPARSE_SQL = f"""{_tfidf_sql('SELECT doc_id AS id, text FROM documents', RETRIEVAL, None, 'kb')},

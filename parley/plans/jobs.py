@@ -61,7 +61,7 @@ def retrieve(messages: DataFrame, kb: DataFrame, index, cfg: ScoringConfig = Sco
     kbw, vocab = index
     qtf = FT.term_counts(messages.select("msg_id", F.col("clean_message")), "msg_id", "clean_message", cfg.spec)
     qw = FT.transform(qtf, vocab, cfg.spec).withColumnRenamed("id", "qid")
-    cands = RT.sparse_search(kbw, qw, cfg.candidate_k, digits=9)
+    cands = RT.sparse_search(kbw, qw, cfg.candidate_k, digits=9, q_rows_bound=qtf.count())
     meta = kb.select(F.col("case_id").alias("id"), F.col("intent").alias("kb_intent"),
                      F.col("customer_message").alias("customer"), F.col("support_response").alias("agent"))
     qi = messages.select(F.col("msg_id").alias("qid"), F.col("pred_intent").alias("q_intent"))

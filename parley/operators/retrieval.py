@@ -68,28 +68,43 @@ def intent_rerank(cands: DataFrame, q_intent: str, kb_intent: str, k: int = 3,
     return cands.withColumn("final_rank", F.row_number().over(w)).filter(F.col("final_rank") <= k)
 
 
+def _keep_topk(q: np.ndarray, ids: np.ndarray, sims: np.ndarray, k: int):
+    """Per query, keep every candidate scoring >= its k-th best (ties at the boundary kept)."""
+    if len(q) == 0:
+        return q, ids, sims
+    order = np.lexsort((-sims, q))
+    q, ids, sims = q[order], ids[order], sims[order]
+    starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1]
+    counts = np.diff(np.r_[starts, len(q)])
+    kth = np.full(len(starts), -np.inf)
+    full = counts >= k
+    kth[full] = sims[starts[full] + k - 1]
+    keep = sims >= np.repeat(kth, counts)
+    return q[keep], ids[keep], sims[keep]
+
+
 def _partial_topk_fn(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
+    """mapInPandas body: one matmul per Arrow batch, per-query top-k kept across the
+    batches of the task, all vectorised (no Python loop over queries)."""
     def run(batches):
-        best_ids = [np.empty(0, dtype=np.int64) for _ in range(len(qids))]
-        best_sim = [np.empty(0, dtype=np.float64) for _ in range(len(qids))]
+        bq = np.empty(0, dtype=np.int64)
+        bi = np.empty(0, dtype=np.int64)
+        bs = np.empty(0, dtype=np.float64)
         for pdf in batches:
             if pdf.empty:
                 continue
             ids = pdf[id_col].to_numpy(dtype=np.int64)
-            mat = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
-            sims = mat @ qmat.T                       # (batch, queries)
-            for j in range(len(qids)):
-                cand_s = np.concatenate([best_sim[j], sims[:, j]])
-                cand_i = np.concatenate([best_ids[j], ids])
-                if len(cand_s) > k:
-                    kth = np.partition(cand_s, len(cand_s) - k)[len(cand_s) - k]
-                    keep = cand_s >= kth              # ties at the boundary are all kept
-                    cand_s, cand_i = cand_s[keep], cand_i[keep]
-                best_sim[j], best_ids[j] = cand_s, cand_i
-        rows = [pd.DataFrame({"qid": np.full(len(best_ids[j]), qids[j], dtype=np.int64),
-                              "id": best_ids[j], "similarity": best_sim[j]}) for j in range(len(qids))]
-        out = pd.concat(rows, ignore_index=True) if rows else pd.DataFrame({"qid": [], "id": [], "similarity": []})
-        yield out.astype({"qid": "int64", "id": "int64", "similarity": "float64"})
+            sims = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64) @ qmat.T   # (batch, queries)
+            n = sims.shape[0]
+            if n > k:
+                thr = np.partition(sims, n - k, axis=0)[n - k]                       # k-th best per query
+                rows, cols = np.nonzero(sims >= thr)
+            else:
+                rows, cols = np.nonzero(np.ones_like(sims, dtype=bool))
+            bq, bi, bs = _keep_topk(np.concatenate([bq, cols.astype(np.int64)]),
+                                    np.concatenate([bi, ids[rows]]),
+                                    np.concatenate([bs, sims[rows, cols]]), k)
+        yield pd.DataFrame({"qid": qids[bq].astype(np.int64), "id": bi, "similarity": bs})
     return run
 
 

@@ -103,8 +103,10 @@ def _golden_sql(text_expr, tag_expr):
 @query("golden_labels", sql=f"SELECT doc_id, {_golden_sql('text', 'source')} FROM documents")
 def q_golden_labels(spark, d):
     """Rule labeller (intent, expected decision, difficulty, notes) for every document."""
-    docs = table(spark, d, "documents")
-    g = R.golden_label(F.col("text"), F.col("source"))
+    docs = (table(spark, d, "documents")
+            .withColumn("__branch", R.golden_branch(F.col("text")))
+            .withColumn("__human", R.tx.contains_any(F.col("text"), R.GL_HUMAN)))
+    g = R.golden_from_branch("__branch", F.col("text"), F.col("source"), human="__human")
     return docs.select("doc_id", g["intent"].alias("intent"), g["expected_decision"].alias("expected_decision"),
                        g["difficulty"].alias("difficulty"), g["notes"].alias("notes"))
 

@@ -104,6 +104,16 @@ def word_count_raw(x) -> Column:
     return word_count(collapse_ws(x))
 
 
+def at_most_words(x, n: int) -> Column:
+    """``word_count_raw(x) <= n`` without scanning the whole text: an anchored,
+    possessive pattern that gives up after the (n+1)-th word (linear, no backtracking)."""
+    if n <= 0:
+        return F.coalesce(_c(x).rlike("^" + WS + "*+\\z"), F.lit(True))
+    pattern = ("^" + WS + "*+(?:" + NON_WS + "++" + WS + "++){0," + str(n - 1) + "}+(?:" + NON_WS + "++)?+"
+               + WS + "*+\\z")
+    return F.coalesce(_c(x).rlike(pattern), F.lit(True))
+
+
 def has_alnum(x) -> Column:
     return _c(x).rlike(ALNUM_ASCII)
 

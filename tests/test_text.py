@@ -64,3 +64,17 @@ def test_validity_gate(spark):
 def test_urls(spark):
     out = one(spark, tx.extract_urls, "see https://a.example/x and www.b.example ok")
     assert out == ["https://a.example/x", "www.b.example"]
+
+
+def test_at_most_words_matches_count(spark):
+    cases = ["", "   ", "a", "a b c d", "a b c d ", "  a  b\\tc\\nd  ", "a b c d e", "a b c d e",
+             "one two three four five six", "x" * 5000 + " y"]
+    df = spark.createDataFrame([(c,) for c in cases], "x string")
+    rows = df.select("x", tx.word_count_raw(F.col("x")).alias("n"), tx.at_most_words(F.col("x"), 4).alias("s"),
+                     tx.at_most_words(F.col("x"), 1).alias("s1")).collect()
+    for r in rows:
+        assert r["s"] == (r["n"] <= 4), r["x"][:20]
+        assert r["s1"] == (r["n"] <= 1), r["x"][:20]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    bad = docs.filter(tx.at_most_words(F.col("text"), 4) != (tx.word_count_raw(F.col("text")) <= 4)).count()
+    assert bad == 0

@@ -190,3 +190,16 @@ def q_classify_prompts(spark, d):
     from parley.operators.external import build_prompts
     labels = [t for t, _ in DOC_THEMES] + [R.OTHER]
     return build_prompts(table(spark, d, "benchmark"), "classify", "item_id", "text", labels=labels)
+
+
+@query("decisions_by_tier", sql=f"""
+WITH g AS (SELECT doc_id, {_golden_sql('text', 'source')} FROM documents)
+SELECT difficulty, expected_decision, count(*) AS n FROM g GROUP BY ROLLUP (difficulty, expected_decision)""")
+def q_decisions_by_tier(spark, d):
+    """Labelled decisions per difficulty tier, with tier and grand totals (ROLLUP)."""
+    docs = (table(spark, d, "documents")
+            .withColumn("__branch", R.golden_branch(F.col("text")))
+            .withColumn("__human", R.tx.contains_any(F.col("text"), R.GL_HUMAN)))
+    g = R.golden_from_branch("__branch", F.col("text"), F.col("source"), human="__human")
+    x = docs.select(g["difficulty"].alias("difficulty"), g["expected_decision"].alias("expected_decision"))
+    return x.rollup("difficulty", "expected_decision").agg(F.count(F.lit(1)).alias("n"))

@@ -180,3 +180,15 @@ def q_csv_roundtrip_pairs(spark, d):
     raw.write.mode("overwrite").option("header", True).option("escape", '"').option("multiLine", True).csv(path)
     back = read_table(spark, path, "csv", RAW_MESSAGES)
     return P.pair_replies(typed_messages(back)).select("case_id", "customer_message", "support_response")
+
+
+@query("reply_links", sql=f"""
+WITH tv AS ({S.THREAD_VIEW})
+SELECT tweet_id, trim(unnest(string_split(response_tweet_id, ','))) AS response_id FROM tv
+WHERE response_tweet_id IS NOT NULL""")
+def q_reply_links(spark, d):
+    """The comma-separated response-id list split into (message, next message) links."""
+    tv = thread_view(table(spark, d, "conversations"))
+    return (tv.filter(F.col("response_tweet_id").isNotNull())
+              .select("tweet_id", F.explode(F.split("response_tweet_id", ",")).alias("response_id"))
+              .select("tweet_id", F.trim("response_id").alias("response_id")))

@@ -138,7 +138,7 @@ e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 x AS (SELECT label, unnest(v) AS val, generate_subscripts(v, 1) AS i FROM e),
 m AS (SELECT label, list(mv ORDER BY i) AS c FROM (SELECT label, i, avg(val) AS mv FROM x GROUP BY label, i) GROUP BY label),
 cn AS (SELECT label, list_transform(c, lambda z: z / sqrt(list_sum(list_transform(c, lambda y: y * y)))) AS centroid FROM m),
-s AS (SELECT cn.label AS qid, e.vec_id AS id, e.label AS true_label, round(list_dot_product(e.v, cn.centroid), 9) AS similarity
+s AS (SELECT CAST(cn.label AS BIGINT) AS qid, e.vec_id AS id, e.label AS true_label, round(list_dot_product(e.v, cn.centroid), 9) AS similarity
       FROM e, cn)"""
 
 

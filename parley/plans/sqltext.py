@@ -47,7 +47,7 @@ def clean_support(e: str) -> str:
 
 
 def word_count(e: str) -> str:
-    return f"(CASE WHEN {e} = '' THEN 0 ELSE len(string_split({e}, ' ')) END)"
+    return f"(CASE WHEN {e} = '' THEN 0 ELSE CAST(len(string_split({e}, ' ')) AS INTEGER) END)"
 
 
 def contains_any(e: str, words) -> str:

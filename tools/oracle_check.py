@@ -67,6 +67,11 @@ def main(sf_dir: str, names: list[str]):
             continue
         sc, sr = rows_of(sp)
         dc, dr = rows_of(dd)
+        st = {c: str(sp[c].dtype) for c in sp.columns}
+        dt = {c: str(dd[c].dtype) for c in dd.columns}
+        diff = {c: (st[c], dt.get(c)) for c in st if c in dt and st[c] != dt[c]}
+        if diff:
+            print(f"TYPE {n}: {diff}")
         if sc != dc:
             print(f"FAIL {n}: columns spark={sc} duck={dc}")
             continue

@@ -16,14 +16,15 @@ from parley.streaming import streams as SS
 
 
 @query("stream_hourly_counts", sql="""
-SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 6) AS total_value
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n,
+       round(sum(value), 6) AS total_value
 FROM events GROUP BY 1, 2""")
 def q_stream_hourly_counts(spark, d):
     """ST2: event-time hourly counters per event type (watermark, update mode, per-batch output)."""
     ev = table(spark, d, "events")
     out = SS.run_hourly_counts(spark, d, ev.schema, glob="events.parquet")
-    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n",
-                      F.round("total_value", 6).alias("total_value"))
+    return out.select(F.date_format(F.col("window_start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")
+                      .alias("window_start"), "event_type", "n", F.round("total_value", 6).alias("total_value"))
 
 
 @query("stream_running_totals", sql="""

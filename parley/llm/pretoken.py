@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 OTHER, LETTER, NUMBER, SPACE, END = range(5)
 
 

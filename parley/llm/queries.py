@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, capdedup, simhash, tokens, topk
+from parley.llm import bpe, capdedup, htmlmain, licenses, linechunks, mixing, quality, simhash, tokens, topk
 from parley.llm.common import table
 from parley.plans.registry import query
 
@@ -21,12 +21,49 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
 
+#: Token shares that the mixed corpus should have; clean text keeps its tokens.
+DOMAIN_TARGETS = {"clean": 0.93, "toxic": 0.05, "junk": 0.02}
+QUALITY_CUT = 0.7
+
+
+def learnable() -> Column:
+    """Labels that may be learned from: three of the four remainders of a hash of the id."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2, F.lit(False))
+
+
+@query("op1_quality")
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of a held-out quarter are not learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", usable=learnable())
+    return quality.score(docs, model).select("doc_id", (~learnable()).alias("held_out"), "score", (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
+
+
 @query("op2_topk", TOP_K_SQL)
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best candidates by integer inner product of every 20th vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query("op3_main_text")
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmlmain.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op4_mixing")
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate and number of copies of every document for the target domain shares."""
+    out = mixing.mix(table(spark, sf_dir, "documents"), mixing.label_domains(table(spark, sf_dir, "labels")), DOMAIN_TARGETS, "clean")
+    return out.select("doc_id", "source", F.round("rate", 6).alias("rate"), "copies")
+
+
+@query("op5_licenses", licenses.oracle_sql())
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences, rules and licences of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints of word 3-shingles and their components at 2 bits or fewer."""
@@ -55,6 +92,12 @@ def op7_cap_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capdedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+@query("op8_line_chunks")
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without repeated multi-line chunks."""
+    return linechunks.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "text", "removed_lines")
+
+
 @query("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and piece tokens of every document."""
@@ -62,9 +105,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def encoded_digests(docs: DataFrame, ids: bool = False) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    out = bpe.decode(bpe.encode(docs, path), path)
+    return out.select("doc_id", "n_tokens", *["ids"] * ids, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
 @query("op10_bpe")
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and their decoding, as digests."""
-    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
-    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+    return encoded_digests(table(spark, sf_dir, "documents"))

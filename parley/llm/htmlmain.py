@@ -267,7 +267,7 @@ def decode(tree: Tree, logs: np.ndarray, chars: np.ndarray) -> np.ndarray:
         up = parent[k]
         main[up] += main[k]
         plain[up] += plain[k]
-        mixed[up] += max(main[k], plain[k], mixed[k])
+        mixed[up] += max(main[k], plain[k], mixed[k] if tree.children[k] else main[k])
     state = [MIXED] * n
     for k in range(n):
         over = state[parent[k]] if k else MIXED

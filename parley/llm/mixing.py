@@ -1,9 +1,10 @@
 """Soft-membership mixing of a corpus to target domain weights, in DataFrame functions only.
 
-1. A naive Bayes classifier learns domains from labelled rows: from at most
-   ``per_domain`` documents of each domain (least hash of the id), it takes the
-   ``words`` words that tell most about the domain, the shares of signs, of capital letters
-   and of words said twice in a row, and the language as features; priors come from all labels.
+1. A multinomial logistic regression learns domains from labelled rows: from at most
+   ``per_domain`` documents of each domain (least hash of the id), weighted to the sizes
+   of the domains in all labels. Its features are the ``words`` words that tell most about
+   the domain, the shares of signs, of capital letters and of words said twice in a
+   row, and the language; it is applied as a column expression.
 2. Every document gets posteriors, rounded to multiples of 1 / ``steps``. Documents of
    equal posteriors form a class, of which there are at most C(steps + D - 1, D - 1)
    for D domains, whatever the input; their tokens are summed over all documents.
@@ -25,6 +26,8 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +40,10 @@ CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 @dataclass
 class Classifier:
     domains: list[str]
-    prior: list[float] = field(default_factory=list)
     words: list[str] = field(default_factory=list)
-    word_logs: list[list[tuple[float, float]]] = field(default_factory=list)  # per word and domain: (present, absent)
-    buckets: dict[str, dict[str, list[float]]] = field(default_factory=dict)  # feature -> value -> log per domain
+    buckets: list[tuple[str, str]] = field(default_factory=list)  # (feature, value)
+    bias: list[float] = field(default_factory=list)  # per domain
+    weights: list[list[float]] = field(default_factory=list)  # per domain: words, then buckets
 
 
 def features(text: Column, lang: Column | None) -> dict[str, Column]:
@@ -86,36 +89,37 @@ def fit(docs: DataFrame, domains: DataFrame, id_col: str = "doc_id", text_col: s
                shares[0] * F.log(shares[0] / mean) + (1 - shares[0]) * F.log((1 - shares[0]) / (1 - mean)))
     total = sum((F.col(f"n{k}") for k in range(1, len(names))), F.col("n0"))
     best = [r["word"] for r in per_word.filter(total >= least).orderBy(F.desc(gain), "word").limit(words).collect()]
-    model = Classifier(names, [math.log(totals[d] / sum(totals.values())) for d in names], best)
-    kinds = [c for c in sample.columns if c.startswith("f_")]
-    counted = sample.groupBy("domain").agg(*[F.sum(has_word(F.col("text"), w).cast("long")).alias(f"w{k}") for k, w in enumerate(best)], F.count(F.lit(1)).alias("n")).collect()
-    by = {r["domain"]: r for r in counted}
-    for k in range(len(best)):
-        logs = []
-        for d in names:
-            p = ((by[d][f"w{k}"] if d in by else 0) + 0.5) / ((by[d]["n"] if d in by else 0) + 1.0)
-            logs.append((math.log(p), math.log(1 - p)))
-        model.word_logs.append(logs)
-    for c in kinds:
-        values = {(r["domain"], r[c]): r["count"] for r in sample.groupBy("domain", c).count().collect()}
-        model.buckets[c[2:]] = {v: [math.log((values.get((d, v), 0) + 1.0) / (sizes.get(d, 0) + 5.0)) for d in names]
-                                for v in sorted({v for _, v in values})}
-    return model
-
-
-def posteriors(model: Classifier, text: Column, lang: Column | None, steps: int) -> list[Column]:
-    """Per domain the posterior in whole ``steps``; the likeliest takes what rounding leaves."""
+    kinds = [c[2:] for c in sample.columns if c.startswith("f_")]
+    values = [(k, r[0]) for k in kinds for r in sorted(sample.select(f"f_{k}").distinct().collect())]
+    rows = sample.select(F.col("domain"), *[has_word(F.col("text"), w).cast("double").alias(f"x{k}") for k, w in enumerate(best)],
+                         *[(F.col(f"f_{k}") == v).cast("double").alias(f"x{len(best) + j}") for j, (k, v) in enumerate(values)])
+    label, weight = F, F
+    for k, d in enumerate(names):
+        label = label.when(F.col("domain") == d, float(k))
+        weight = weight.when(F.col("domain") == d, totals[d] / max(sizes.get(d, 0), 1))
+    rows = stage(rows.withColumns({"label": label, "weight": weight}), "mixing-features")
+    if len(sizes) < 2 or not best + values:
+        return Classifier(names, bias=[math.log(totals[d] / sum(totals.values())) for d in names], weights=[[] for _ in names])
+    size = len(best) + len(values)
+    fitted = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-3, maxIter=100).fit(
+        VectorAssembler(inputCols=[f"x{k}" for k in range(size)], outputCol="features").transform(rows))
+    matrix, bias = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+    seen = len(bias)  # domains after the last one that has a sampled text are never predicted
+    return Classifier(names, best, values, [float(bias[k]) if k < seen else -1e3 for k in range(len(names))],
+                      [[float(x) for x in matrix[k]] if k < seen else [0.0] * size for k in range(len(names))])
+
+
+def posteriors(model: Classifier, text: Column, lang: Column | None) -> list[Column]:
+    """Per domain the unnormalised log posterior."""
     found = features(text, lang)
     logs = []
     for k in range(len(model.domains)):
-        log = F.lit(model.prior[k])
-        for w, pairs in zip(model.words, model.word_logs, strict=True):
-            log = log + F.when(has_word(text, w), F.lit(pairs[k][0])).otherwise(F.lit(pairs[k][1]))
-        for name, values in model.buckets.items():
-            case = F
-            for v, per_domain in values.items():
-                case = case.when(found[name] == v, F.lit(per_domain[k]))
-            log = log + (case.otherwise(F.lit(0.0)) if values else F.lit(0.0))
+        log, own = F.lit(model.bias[k]), model.weights[k]
+        for w, x in zip(model.words, own, strict=False):
+            log = log + F.when(has_word(text, w), F.lit(x)).otherwise(F.lit(0.0))
+        for (name, value), x in zip(model.buckets, own[len(model.words):], strict=False):
+            if name in found:
+                log = log + F.when(found[name] == value, F.lit(x)).otherwise(F.lit(0.0))
         logs.append(log)
     return logs
 
@@ -123,15 +127,14 @@ def posteriors(model: Classifier, text: Column, lang: Column | None, steps: int)
 def with_classes(docs: DataFrame, model: Classifier, text_col: str, lang_col: str | None, steps: int) -> DataFrame:
     """``docs`` with ``class_``: the rounded posteriors as array<int>, in domain order."""
     text = text_or_empty(text_col)
-    logs = posteriors(model, text, F.col(lang_col) if lang_col and lang_col in docs.columns else None, steps)
-    n = len(logs)
+    logs = posteriors(model, text, F.col(lang_col) if lang_col and lang_col in docs.columns else None)
     rows = docs.withColumn("logs_", F.array(*logs))
     rows = rows.withColumn("weights_", F.transform("logs_", lambda x: F.exp(x - F.array_max("logs_"))))
     rows = rows.withColumn("parts_", F.transform("weights_", lambda x: F.floor(x / F.aggregate("weights_", F.lit(0.0), lambda a, y: a + y) * steps).cast("int")))
     spare = F.lit(steps) - F.aggregate("parts_", F.lit(0), lambda a, y: a + y)
     top = F.array_position("weights_", F.array_max("weights_")).cast("int") - 1
     rows = rows.withColumn("class_", F.transform("parts_", lambda x, k: x + F.when(k == top, spare).otherwise(F.lit(0))))
-    return rows.drop("logs_", "weights_", "parts_") if n else rows
+    return rows.drop("logs_", "weights_", "parts_")
 
 
 def fit_rates(classes: DataFrame, n: int, steps: int, targets: list[float], anchor: int, ridge: float, rounds: int) -> tuple[DataFrame, list[float], list[float]]:

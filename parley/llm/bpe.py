@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ from pyspark.sql import types as T
 from parley.llm import pretoken
 from parley.llm.common import hot_threshold, stage, strings, text_or_empty
 
+RARE_WORDS = 300_000
 WIDTH = 3
 ENTRY = 3 * WIDTH
 HALVES = (140_009, 140_057)  # together over twice the pairs of a 50k vocabulary
@@ -119,19 +121,34 @@ def merge_fold(start: Column, ranks: Column) -> Column:
 
 def encode_word(word: Column, pieces: list[bytes], ranks: Column) -> Column:
     """Ids of one pre-token: WIDTH bytes each, high byte first, joined."""
-    return _let(byte_ids(word, pieces), lambda b: F.aggregate(
-        merge_fold(b, ranks), F.lit(bytearray()), lambda a, x: F.concat(a, x)))
+    # the literal stands once in the plan, whose text Spark keeps on the driver
+    return _let(ranks, lambda held: _let(byte_ids(word, pieces), lambda b: F.aggregate(
+        merge_fold(b, held), F.lit(bytearray()), lambda a, x: F.concat(a, x))))
 
 
-def fold_word(word: bytes, byte_id: list[int], ranks: dict[int, int]) -> list[int]:
-    """The same fold in Python, for words that are not in the table."""
+def fold_word(word: bytes, byte_id: list[int], ranks: dict[int, int]) -> bytes:
+    """The same fold in Python, for words that are not in the table: ids as unsigned
+    32-bit integers, low byte first."""
     ids = [byte_id[b] for b in word]
-    while len(ids) > 1:
-        least, at = min((ranks.get(pair, 1 << 40), k) for k, pair in enumerate((a << 24 | b for a, b in zip(ids, ids[1:], strict=False))))
-        if least == 1 << 40:
+    never, rank = 1 << 40, ranks.get
+    row = [rank(a << 24 | b, never) for a, b in zip(ids, ids[1:], strict=False)]
+    while row:
+        least = min(row)
+        if least == never:
             break
+        at = row.index(least)
         ids[at:at + 2] = [least]
-    return ids
+        del row[at]
+        if at:
+            row[at - 1] = rank(ids[at - 1] << 24 | least, never)
+        if at < len(row):
+            row[at] = rank(least << 24 | ids[at + 1], never)
+    return array("I", ids).tobytes()
+
+
+def _widened(ids: bytes) -> bytes:
+    """Ids of WIDTH bytes, high byte first, as unsigned 32-bit integers, low byte first."""
+    return array("I", [int.from_bytes(ids[k:k + WIDTH], "big") for k in range(0, len(ids), WIDTH)]).tobytes()
 
 
 def word_counts(docs: DataFrame, kind: str, text_col: str = "text") -> DataFrame:
@@ -160,7 +177,7 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
     counts = stage(word_counts(docs, "gpt", text_col), "bpe-words")
     ranks = rank_map(pieces)
     known = frequent(counts, hot_words, hot_bytes).select("word", encode_word(F.col("word"), pieces, ranks).alias("ids")).collect()
-    table = docs.sparkSession.sparkContext.broadcast({r["word"]: bytes(r["ids"]) for r in known})
+    table = docs.sparkSession.sparkContext.broadcast({r["word"]: _widened(bytes(r["ids"])) for r in known})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, hot = pretoken.char_classes(), table.value
@@ -168,17 +185,19 @@ def encode(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: s
         byte_id = [ids[bytes([b])] for b in range(256)]
         merges = {int.from_bytes(k[:WIDTH], "big") << 24 | int.from_bytes(k[WIDTH:], "big"): int.from_bytes(v, "big")
                   for k, v in pair_ranks(pieces).items()}
+        rare: dict[str, bytes] = {}
         for batch in batches:
             keys = batch.column(0)
             for first, words, codes, bounds in pretoken.slices(strings(batch.column(1)), "gpt", classes):
-                flat, sizes = [], np.zeros(len(words), np.int64)
-                for k, word in enumerate(words.to_pylist()):
-                    got = hot.get(word)
-                    got = fold_word(word.encode(), byte_id, merges) if got is None else [
-                        int.from_bytes(got[j:j + WIDTH], "big") for j in range(0, len(got), WIDTH)]
-                    flat += got
-                    sizes[k] = len(got)
-                flat = np.array(flat, np.uint32)
+                found = []
+                for word in words.to_pylist():
+                    got = hot.get(word) or rare.get(word)
+                    if got is None:
+                        got = rare[word] = fold_word(word.encode(), byte_id, merges)
+                    found.append(got)
+                if len(rare) > RARE_WORDS:  # a memory of words, not a limit on them
+                    rare.clear()
+                flat, sizes = np.frombuffer(b"".join(found), "<u4"), np.array([len(x) // 4 for x in found], np.int64)
                 begins = np.cumsum(sizes) - sizes
                 n = sizes[codes]
                 ends = np.concatenate([[0], np.cumsum(n)])

@@ -73,24 +73,26 @@ def collapse_ws(x) -> Column:
     return F.trim(F.regexp_replace(_c(x), WS + "+", " "))
 
 
-def _blank_to_empty(raw: Column, cleaned: Column) -> Column:
-    return F.when(raw.isNull() | (strip_ws(raw) == ""), F.lit("")).otherwise(cleaned)
+def _cleaned(raw: Column, marked: Column) -> Column:
+    """Collapsed text, null as empty. Only a text with an entity, tag or mention sign
+    pays for the replacements (``marked``); all others are just collapsed."""
+    signs = F.contains(raw, F.lit("&")) | F.contains(raw, F.lit("<")) | F.contains(raw, F.lit("@"))
+    return F.coalesce(F.when(signs, collapse_ws(marked)).otherwise(collapse_ws(raw)), F.lit(""))
 
 
 def clean_customer(x, remove_inline_mentions: bool = True) -> Column:
     """F8: unescape -> tags -> leading mentions -> strip -> mask mentions -> collapse."""
     raw = _c(x)
-    c = strip_ws(strip_leading_mentions(strip_tags(unescape_entities(raw))))
+    c = strip_leading_mentions(strip_tags(unescape_entities(raw)))
     if remove_inline_mentions:
         c = mask_mentions(c)
-    return _blank_to_empty(raw, collapse_ws(c))
+    return _cleaned(raw, c)
 
 
 def clean_support(x) -> Column:
     """unescape -> tags -> leading mentions -> collapse (URLs, signatures kept)."""
     raw = _c(x)
-    c = strip_ws(strip_leading_mentions(strip_tags(unescape_entities(raw))))
-    return _blank_to_empty(raw, collapse_ws(c))
+    return _cleaned(raw, strip_leading_mentions(strip_tags(unescape_entities(raw))))
 
 
 def word_count(x) -> Column:

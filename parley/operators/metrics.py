@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.operators.sampling import global_rank
-from parley.operators.util import checked_broadcast
 
 
 def _div(a, b) -> Column:
@@ -66,18 +65,19 @@ def summary(df: DataFrame, y: str, p: str) -> DataFrame:
                 _div(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("weighted_f1"))
 
 
-def confusion(df: DataFrame, y: str, p: str, max_labels: int = 10_000) -> DataFrame:
-    """Dense confusion matrix in long form (true_label, pred_label, n) over the
-    sorted label union, zeros included. The k x k grid comes from exploding the
-    (size-checked) label array twice on one row, not from a join of data."""
-    pairs = df.select(F.col(y).cast("string").alias("t"), F.col(p).cast("string").alias("q"))
-    counts = pairs.groupBy("t", "q").agg(F.count(F.lit(1)).alias("n"))
-    labels = (pairs.select(F.explode(F.array("t", "q")).alias("l")).agg(F.array_sort(F.collect_set("l")).alias("ls")))
-    grid = (labels.filter(F.size("ls") <= max_labels)
-                  .select(F.explode("ls").alias("true_label"), "ls")
-                  .select("true_label", F.explode("ls").alias("pred_label")))
-    return (grid.join(checked_broadcast(counts), (grid.true_label == counts.t) & (grid.pred_label == counts.q), "left")
-                .select("true_label", "pred_label", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
+def confusion(df: DataFrame, y: str, p: str, dense: bool = False) -> DataFrame:
+    """Confusion counts in long form (true_label, pred_label, n), for any number of
+    labels. ``dense`` adds the cells without rows: the square of the sorted label union,
+    each label exploding to its row of cells."""
+    pairs = df.select(F.col(y).cast("string").alias("true_label"), F.col(p).cast("string").alias("pred_label"))
+    counts = pairs.groupBy("true_label", "pred_label").agg(F.count(F.lit(1)).alias("n"))
+    if dense:
+        labels = counts.select(F.explode(F.array("true_label", "pred_label")).alias("l")).distinct()
+        row = labels.agg(F.array_sort(F.collect_list("l")).alias("ls"))
+        zeros = row.select(F.explode("ls").alias("true_label"), "ls").select(
+            "true_label", F.explode("ls").alias("pred_label"), F.lit(0).cast("bigint").alias("n"))
+        counts = counts.unionAll(zeros).groupBy("true_label", "pred_label").agg(F.sum("n").alias("n"))
+    return counts.select("true_label", "pred_label", F.col("n").cast("bigint").alias("n"))
 
 
 def majority_label(train: DataFrame, y: str) -> DataFrame:

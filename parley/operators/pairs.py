@@ -2,7 +2,7 @@
 
 Plan shape: both sides are filtered scans of the same message table; the join
 is an equi-join on a unique tweet id (sort-merge or broadcast by AQE, no hot
-keys); the keep-first dedupe is a hash aggregate of ``min(struct)`` so a hot
+keys); the keep-first dedupe aggregates ``min(struct)`` per text pair, so a hot
 text pair is pre-aggregated map-side instead of landing in one window task.
 """
 
@@ -88,7 +88,7 @@ def pair_replies(msgs: DataFrame, brand: str | None = None, min_words: int = 3)
 
 def keep_first(gated: DataFrame) -> DataFrame:
     """One pair per (cleaned question, cleaned reply), the earliest by
-    (customer time, customer id, reply time, reply id); a hash aggregate of
+    (customer time, customer id, reply time, reply id); an aggregate of
     ``min(struct)`` pre-aggregated map-side, so a hot text pair never lands whole in one task."""
     payload = ["brand", "customer_author_id", "customer_raw_text", "support_raw_text", "created_at",
                "support_created_at"]
@@ -100,7 +100,10 @@ def keep_first(gated: DataFrame) -> DataFrame:
         F.coalesce(F.col("support_ts"), never).alias("k3"),
         F.col("support_tweet_id").alias("k4"),
         *[F.col(p) for p in payload]))
-    dedup = gated.groupBy("customer_message", "support_response").agg(first.alias("f"))
+    # strings in min(struct) make this a sort aggregate: the digest leads the sort, so
+    # texts are compared only where it ties
+    dedup = gated.groupBy(F.xxhash64("customer_message", "support_response").alias("digest"),
+                          "customer_message", "support_response").agg(first.alias("f"))
     return dedup.select(
         F.concat_ws("_", F.lit("case"), F.col("f.k2"), F.col("f.k4")).alias("case_id"),
         F.col("f.brand").alias("brand"),

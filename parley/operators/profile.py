@@ -91,7 +91,7 @@ def brand_samples(msgs: DataFrame, brands: DataFrame, k: int = 5, order_col: str
     names = brands.select("brand")
     src = (msgs.filter(F.col("text").isNotNull())
                .join(checked_broadcast(names, brands_rows), msgs.author_id == names.brand, "left_semi"))
-    w = Window.partitionBy("author_id").orderBy(F.col(order_col).cast("bigint"), F.col(order_col))
+    w = Window.partitionBy("author_id").orderBy(F.col(order_col).try_cast("bigint"), F.col(order_col))
     return (src.withColumn("sample_rank", F.row_number().over(w))
                .filter(F.col("sample_rank") <= k)
                .select(F.col("author_id").alias("brand"), "sample_rank", "tweet_id", "text"))

@@ -4,15 +4,13 @@
   weights and a broadcast block of query weights (row count checked, blocks
   above the limit processed one after another), ``sum(wq * wd)`` per (query,
   case) with map-side partial sums, then a per-query top-k.
-* Dense (inner product on unit vectors): the KB is scanned once with
-  ``mapInPandas``; each task multiplies its Arrow batches by the query block
-  (numpy) and keeps only a per-task top-k per query, so no pair is ever a row.
-  Query blocks above ``max_block`` rows are processed block by block.
+* Dense (inner product on unit vectors): blocks of queries meet blocks of the KB
+  in cogroups; each is one matrix product that keeps a top-k per query, so only
+  k rows per query and block leave a group.
 """
 
 from __future__ import annotations
 
-import math
 
 import numpy as np
 import pandas as pd
@@ -31,8 +29,8 @@ def sparse_search(kb_weights: DataFrame, q_weights: DataFrame, k: int = 3, digit
     (qid, id, similarity, rank). ``digits`` rounds scores before ranking so exact
     duplicates tie regardless of summation order.
 
-    The query weights are always broadcast, in blocks of at most ``max_block_rows``
-    rows (their size is counted first): each KB row then meets at most one block's
+    The query weights are always broadcast, in blocks that average ``max_block_rows``
+    rows (their number is counted first): each KB row then meets at most one block's
     queries for its term, so a hot term never turns into a task holding every
     (query, case) pair. Blocks are disjoint sets of queries, so each block's top-k
     is final and the results are unioned. ``q_rows_bound`` (e.g. the query-side
@@ -40,7 +38,7 @@ def sparse_search(kb_weights: DataFrame, q_weights: DataFrame, k: int = 3, digit
     computation would pull the knowledge-base vocabulary into an extra job."""
     q = q_weights.select("qid", "term", F.col("weight").alias("wq"))
     n_rows = q_rows_bound if q_rows_bound is not None else q.count()
-    blocks = max(1, math.ceil(n_rows / max_block_rows))
+    blocks = max(1, -(-n_rows // max_block_rows))
     out = None
     for b in range(blocks):   # a loop over query blocks, each one distributed scan of the KB
         qb = q if blocks == 1 else q.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
@@ -68,69 +66,37 @@ def intent_rerank(cands: DataFrame, q_intent: str, kb_intent: str, k: int = 3,
     return cands.withColumn("final_rank", F.row_number().over(w)).filter(F.col("final_rank") <= k)
 
 
-def _keep_topk(q: np.ndarray, ids: np.ndarray, sims: np.ndarray, k: int):
-    """Per query, keep every candidate scoring >= its k-th best (ties at the boundary kept)."""
-    if len(q) == 0:
-        return q, ids, sims
-    order = np.lexsort((-sims, q))
-    q, ids, sims = q[order], ids[order], sims[order]
-    starts = np.r_[0, np.flatnonzero(np.diff(q)) + 1]
-    counts = np.diff(np.r_[starts, len(q)])
-    kth = np.full(len(starts), -np.inf)
-    full = counts >= k
-    kth[full] = sims[starts[full] + k - 1]
-    keep = sims >= np.repeat(kth, counts)
-    return q[keep], ids[keep], sims[keep]
-
-
-def _partial_topk_fn(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
-    """mapInPandas body: one matmul per Arrow batch, per-query top-k kept across the
-    batches of the task, all vectorised (no Python loop over queries)."""
-    def run(batches):
-        bq = np.empty(0, dtype=np.int64)
-        bi = np.empty(0, dtype=np.int64)
-        bs = np.empty(0, dtype=np.float64)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            ids = pdf[id_col].to_numpy(dtype=np.int64)
-            sims = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64) @ qmat.T   # (batch, queries)
-            n = sims.shape[0]
-            if n > k:
-                thr = np.partition(sims, n - k, axis=0)[n - k]                       # k-th best per query
-                rows, cols = np.nonzero(sims >= thr)
-            else:
-                rows, cols = np.nonzero(np.ones_like(sims, dtype=bool))
-            bq, bi, bs = _keep_topk(np.concatenate([bq, cols.astype(np.int64)]),
-                                    np.concatenate([bi, ids[rows]]),
-                                    np.concatenate([bs, sims[rows, cols]]), k)
-        yield pd.DataFrame({"qid": qids[bq].astype(np.int64), "id": bi, "similarity": bs})
-    return run
-
-
 def dense_search(kb: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id",
                  vec_col: str = "embedding", qid_col: str = "qid", qvec_col: str = "qvec",
-                 max_block: int = 2048) -> DataFrame:
-    """M7a exact top-k by inner product -> (qid, id, similarity, rank)."""
-    first = queries.select(qid_col, qvec_col).limit(max_block + 1).collect()   # size check, bounded fetch
-    blocks = 1 if len(first) <= max_block else max(2, math.ceil(queries.count() / max_block))
-    out = None
-    for b in range(blocks):   # a loop over query blocks, each one distributed scan of the KB
-        if blocks == 1:
-            rows = first
-        else:   # hash blocks average max_block rows
-            rows = queries.filter(F.pmod(F.hash(qid_col), F.lit(blocks)) == b).select(qid_col, qvec_col).collect()
-        if not rows:
-            continue
-        qids = np.array([r[0] for r in rows], dtype=np.int64)
-        qmat = np.array([list(r[1]) for r in rows], dtype=np.float64)
-        part = kb.select(id_col, vec_col).mapInPandas(
-            _partial_topk_fn(qids, qmat, k, id_col, vec_col), "qid long, id long, similarity double")
-        res = top_k(part.withColumn("similarity", F.round("similarity", 9)), "qid", "similarity", "id", k)
-        out = res if out is None else out.unionByName(res)
-    if out is None:
-        return kb.sparkSession.createDataFrame([], "qid long, id long, similarity double, rank int")
-    return out
+                 chunk: int = 8192) -> DataFrame:
+    """M7a exact top-k by inner product -> (qid, id, similarity, rank).
+
+    Both sides are dealt by a hash of their id into blocks of about ``chunk`` rows (the
+    two row counts are the only figures the driver sees); every pair of blocks is one
+    group, a matrix product that keeps k candidates per query (ties at the boundary
+    kept), and the per-query top-k follows. Same plan at every size."""
+    n_kb, n_q = (max(1, -(-df.count() // chunk)) for df in (kb, queries))
+    left = (queries.select(F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).cast("array<double>").alias("qvec"))
+            .withColumn("b", F.pmod(F.xxhash64("qid"), F.lit(n_q))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(n_kb - 1)))))
+    right = (kb.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+             .withColumn("c", F.pmod(F.xxhash64("id"), F.lit(n_kb)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1)))))
+    left, right = left.withColumn("b", F.col("b").cast("int")), right
+
+    def best(_, q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(q) and len(d):
+            ids, mat = d["id"].to_numpy(), np.vstack(d["vec"].to_numpy())
+            for at in range(0, len(q), 512):
+                part = q.iloc[at:at + 512]
+                sims = np.round(np.vstack(part["qvec"].to_numpy()) @ mat.T, 9)
+                low = np.partition(sims, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(part), -np.inf)
+                i, j = np.nonzero(sims >= low[:, None])
+                f = pd.DataFrame({"qid": part["qid"].to_numpy()[i], "id": ids[j], "similarity": sims[i, j]})
+                out.append(f.sort_values(["qid", "similarity", "id"], ascending=[True, False, True]).groupby("qid", sort=False).head(k))
+        return pd.concat(out) if out else pd.DataFrame({"qid": [], "id": [], "similarity": []})
+
+    part = left.groupBy("b", "c").cogroup(right.groupBy("b", "c")).applyInPandas(best, "qid long, id long, similarity double")
+    return top_k(part.withColumn("similarity", F.round("similarity", 9)), "qid", "similarity", "id", k)
 
 
 def label_centroids(df: DataFrame, label_col: str = "label", vec_col: str = "embedding") -> DataFrame:
@@ -147,25 +113,8 @@ def label_centroids(df: DataFrame, label_col: str = "label", vec_col: str = "emb
 
 
 def nearest_label(df: DataFrame, centroids: DataFrame, label_col: str = "label", vec_col: str = "embedding",
-                  id_col: str = "vec_id", max_labels: int = 10_000) -> DataFrame:
+                  id_col: str = "vec_id") -> DataFrame:
     """kNN-style vote by centroid: every row gets the label of the closest centroid
-    (ties to the smaller label). The centroid table is one row per label, size-checked."""
-    rows = centroids.orderBy(label_col).limit(max_labels + 1).collect()
-    if len(rows) > max_labels:
-        raise ValueError("too many labels for a broadcast centroid block")
-    labels = np.array([r[0] for r in rows])
-    cmat = np.array([list(r[1]) for r in rows], dtype=np.float64)
-
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                yield pd.DataFrame({id_col: [], "predicted": [], "score": []}).astype(
-                    {id_col: "int64", "predicted": "int64", "score": "float64"})
-                continue
-            mat = np.vstack(pdf[vec_col].to_numpy()).astype(np.float64)
-            s = mat @ cmat.T
-            j = np.argmax(s, axis=1)                    # first max = smallest label (sorted)
-            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(dtype=np.int64),
-                                "predicted": labels[j].astype(np.int64), "score": s[np.arange(len(j)), j]})
-
-    return df.select(id_col, vec_col).mapInPandas(run, f"{id_col} long, predicted long, score double")
+    (ties to the smaller label): a search of the rows among the centroids."""
+    found = dense_search(centroids, df, 1, label_col, "centroid", id_col, vec_col)
+    return found.select(F.col("qid").alias(id_col), F.col("id").alias("predicted"), F.col("similarity").alias("score"))

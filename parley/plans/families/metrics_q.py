@@ -69,7 +69,7 @@ SELECT a.l AS true_label, b.l AS pred_label, coalesce(c.n, 0) AS n
 FROM lab a CROSS JOIN lab b LEFT JOIN c ON c.y = a.l AND c.p = b.l""")
 def q_toxicity_confusion(spark, d):
     """Dense confusion matrix (long form, zeros kept)."""
-    return M.confusion(_tox_pairs(spark, d), "y", "p")
+    return M.confusion(_tox_pairs(spark, d), "y", "p", dense=True)
 
 
 @query("majority_baseline", sql=f"""

@@ -74,7 +74,7 @@ def q_top_ngrams_stopped(spark, d):
     return FT.top_terms(w, 50)
 
 
-USER_SRC = f"SELECT conv_id * 1000 + turn AS id, {S.clean_customer('text')} AS text FROM conversations WHERE role = 'user'"
+USER_SRC = f"SELECT conv_id * 1000000 + turn AS id, {S.clean_customer('text')} AS text FROM conversations WHERE role = 'user'"
 
 
 @query("tfidf_weights", sql=f"""
@@ -83,7 +83,7 @@ SELECT id, term, round(weight, 6) AS weight FROM w""")
 def q_tfidf_weights(spark, d):
     """M1: sublinear 1-2-gram TF-IDF weights (L2 rows) of every cleaned user message."""
     c = table(spark, d, "conversations").filter(F.col("role") == "user").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), tx.clean_customer("text").alias("text"))
+        (F.col("conv_id") * 1000000 + F.col("turn")).alias("id"), tx.clean_customer("text").alias("text"))
     w, _ = FT.tfidf(c, "id", "text", CLASSIFIER)
     return w.select("id", "term", F.round("weight", 6).alias("weight"))
 

@@ -22,7 +22,7 @@ FROM events GROUP BY 1, 2""")
 def q_stream_hourly_counts(spark, d):
     """ST2: event-time hourly counters per event type (watermark, update mode, per-batch output)."""
     ev = table(spark, d, "events")
-    out = SS.run_hourly_counts(spark, d, ev.schema, glob="events.parquet")
+    out = SS.run_hourly_counts(spark, f"{d}/events.parquet", ev.schema)
     return out.select(F.date_format(F.col("window_start").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss")
                       .alias("window_start"), "event_type", "n", F.round("total_value", 6).alias("total_value"))
 
@@ -32,7 +32,7 @@ SELECT event_type, count(*) AS n, round(sum(value), 6) AS total_value FROM event
 def q_stream_running_totals(spark, d):
     """ST2: running totals per event type (complete mode)."""
     ev = table(spark, d, "events")
-    out = SS.running_totals(spark, d, ev.schema, "event_type", glob="events.parquet")
+    out = SS.running_totals(spark, f"{d}/events.parquet", ev.schema, "event_type")
     return out.select("event_type", "n", F.round("total_value", 6).alias("total_value"))
 
 
@@ -70,7 +70,7 @@ def q_stream_score_messages(spark, d):
     def score_batch(batch):
         s = J.score(batch, kb, index)
         return s.select("msg_id", "intent", "confidence", "intent_source",
-                        F.col("evidence").getItem(0)["case_id"].alias("top_case"),
+                        F.get("evidence", F.lit(0))["case_id"].alias("top_case"),
                         F.round("evidence_strength", 6).alias("evidence_strength"),
                         F.size("evidence").alias("n_evidence"), "reply", "reply_mode", "decision", "trigger")
 

@@ -169,7 +169,7 @@ def q_input_size(spark, d):
 
 @query("csv_roundtrip_pairs", sql=f"""
 WITH {S.PAIRS_CTE}
-SELECT case_id, customer_message, support_response FROM pairs""")
+SELECT case_id, customer_message, support_response, customer_raw_text, support_raw_text FROM pairs""")
 def q_csv_roundtrip_pairs(spark, d):
     """Raw messages written as quoted multi-line CSV (shared folder), read back
     all-string with an explicit schema, typed, and paired -- same pairs as from Parquet."""
@@ -177,9 +177,11 @@ def q_csv_roundtrip_pairs(spark, d):
     from parley.streaming.streams import stream_root
     path = stream_root(spark, "csv") + "/messages"
     raw = thread_view(table(spark, d, "conversations"), with_responses=False)
-    raw.write.mode("overwrite").option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    raw.write.mode("overwrite").option("header", True).option("escape", '"').option("multiLine", True) \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     back = read_table(spark, path, "csv", RAW_MESSAGES)
-    return P.pair_replies(typed_messages(back)).select("case_id", "customer_message", "support_response")
+    return P.pair_replies(typed_messages(back)).select("case_id", "customer_message", "support_response",
+                                                         "customer_raw_text", "support_raw_text")
 
 
 @query("reply_links", sql=f"""

@@ -66,7 +66,8 @@ def retrieve(messages: DataFrame, kb: DataFrame, index, cfg: ScoringConfig = Sco
                      F.col("customer_message").alias("customer"), F.col("support_response").alias("agent"))
     qi = messages.select(F.col("msg_id").alias("qid"), F.col("pred_intent").alias("q_intent"))
     top = RT.intent_rerank(cands.join(meta, "id").join(qi, "qid"), "q_intent", "kb_intent", cfg.top_k)
-    ev = F.struct("final_rank", F.col("id").alias("case_id"), "similarity", "customer", "agent",
+    # ranked on the unrounded similarity; the evidence (and every threshold) sees four places
+    ev = F.struct("final_rank", F.col("id").alias("case_id"), F.round("similarity", 4).alias("similarity"), "customer", "agent",
                   F.col("kb_intent").alias("intent"))
     # at most top_k rows per message: a bounded list
     return (top.groupBy(F.col("qid").alias("msg_id"))
@@ -88,7 +89,8 @@ def score(messages: DataFrame, kb: DataFrame, index=None, cfg: ScoringConfig = S
     ev = retrieve(m, kb, index, cfg)
     s = m.join(ev, "msg_id", "left").withColumn(
         "evidence", F.coalesce("evidence", F.array().cast(ev.schema["evidence"].dataType)))
-    strength = F.coalesce(F.col("evidence").getItem(0)["similarity"], F.lit(0.0))
+    # a message without evidence has no first element: get() gives null there, getItem() raises
+    strength = F.coalesce(F.get("evidence", F.lit(0))["similarity"], F.lit(0.0))
     s = s.withColumn("evidence_strength", strength)
     s = s.withColumn("draft", RS.draft_reply("evidence"))
     s = s.withColumn("trigger", R.escalation_trigger(F.col("message"), F.col("pred.intent"), F.col("pred.confidence"),
@@ -119,7 +121,7 @@ def evaluate(judged: DataFrame, truth: DataFrame) -> dict[str, DataFrame]:
     j = judged.join(t, "msg_id")
     dims = ["relevance", "groundedness", "helpfulness", "style", "unsupported_claims", "overall"]
     flat = j.select("*", *[F.col(f"judge.{d}").alias(d) for d in dims])
-    top_intent = F.col("evidence").getItem(0)["intent"]
+    top_intent = F.get("evidence", F.lit(0))["intent"]
     retrieval = flat.agg(
         F.round(F.avg("evidence_strength"), 4).alias("mean_top1_similarity"),
         F.round(F.median("evidence_strength"), 4).alias("median_top1_similarity"),
@@ -144,7 +146,7 @@ def evaluation_summary(judged: DataFrame, truth: DataFrame) -> DataFrame:
     dims = ["relevance", "groundedness", "helpfulness", "style", "unsupported_claims", "overall"]
     pos_t = F.col("expected_decision") == "escalate"
     pos_p = F.col("decision") == "escalate"
-    top_intent = F.col("evidence").getItem(0)["intent"]
+    top_intent = F.get("evidence", F.lit(0))["intent"]
     a = j.agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg((F.col("intent") == F.col("true_intent")).cast("double")), 4).alias("intent_accuracy"),

@@ -73,7 +73,7 @@ def first_match(e: str, rules, default: str) -> str:
 
 
 THREAD_VIEW = """
-SELECT CAST(c.conv_id * 1000 + c.turn AS VARCHAR) AS tweet_id,
+SELECT CAST(c.conv_id * 1000000 + c.turn AS VARCHAR) AS tweet_id,
        CASE WHEN c.role = 'assistant' THEN 'brand' || CAST(c.conv_id % 5 AS VARCHAR)
             ELSE 'cust' || CAST(c.conv_id AS VARCHAR) END AS author_id,
        c.role = 'user' AS inbound,
@@ -81,8 +81,8 @@ SELECT CAST(c.conv_id * 1000 + c.turn AS VARCHAR) AS tweet_id,
                 '%a %b %d %H:%M:%S +0000 %Y') AS created_at,
        TIMESTAMP '2017-10-01 00:00:00' + to_minutes(c.conv_id * 1000 + c.turn) AS created_ts,
        c.text,
-       CASE WHEN c.turn > 0 THEN CAST(c.conv_id * 1000 + c.turn - 1 AS VARCHAR) END AS in_response_to_tweet_id,
-       CAST(n.conv_id * 1000 + n.turn AS VARCHAR) AS response_tweet_id
+       CASE WHEN c.turn > 0 THEN CAST(c.conv_id * 1000000 + c.turn - 1 AS VARCHAR) END AS in_response_to_tweet_id,
+       CAST(n.conv_id * 1000000 + n.turn AS VARCHAR) AS response_tweet_id
 FROM conversations c LEFT JOIN conversations n ON n.conv_id = c.conv_id AND n.turn = c.turn + 1
 """
 

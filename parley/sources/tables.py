@@ -43,8 +43,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
 
 
 def read_query_file(spark: SparkSession, path: str) -> DataFrame:
-    """Sample-query JSON as list of objects, or ``{"queries": [...]}``."""
+    """Sample-query JSON as list of objects, as ``{"queries": [...]}``, or as a list
+    of bare strings (column ``text``)."""
     raw = spark.read.option("multiLine", True).json(path)
+    if raw.columns == ["_corrupt_record"]:
+        items = F.from_json("value", "array<string>")
+        return spark.read.text(path, wholetext=True).select(F.explode(items).alias("text"))
     if "queries" in raw.columns:
         raw = raw.select(F.explode("queries").alias("q")).select("q.*")
     return raw
@@ -57,21 +61,26 @@ def with_default(df: DataFrame, col: str, value, dtype: str = "string") -> DataF
     return df.withColumn(col, F.lit(value).cast(dtype))
 
 
+# Turns of one conversation that have ids of their own.
+THREAD_STRIDE = 1_000_000
+
+
 def thread_view(conversations: DataFrame, n_brands: int = 5, with_responses: bool = True) -> DataFrame:
     """Raw-message rows from ``conversations(conv_id, turn, role, text)``.
 
-    tweet_id = conv_id*1000+turn; assistants speak for brand ``conv_id % n_brands``;
+    tweet_id = conv_id*1000000+turn; assistants speak for brand ``conv_id % n_brands``;
     a turn answers the previous turn; ``response_tweet_id`` is the next turn
     (an equi-join on (conv_id, turn+1), so no window over a conversation)."""
     c = conversations.select("conv_id", "turn", "role", "text")
-    tid = c.conv_id * 1000 + c.turn
+    tid = c.conv_id * THREAD_STRIDE + c.turn
+    minute = c.conv_id * 1000 + c.turn
     base = c.select(
         "conv_id", "turn",
         tid.cast("string").alias("tweet_id"),
         F.when(c.role == "assistant", F.concat(F.lit("brand"), (c.conv_id % n_brands).cast("string")))
          .otherwise(F.concat(F.lit("cust"), c.conv_id.cast("string"))).alias("author_id"),
         F.when(c.role == "user", F.lit("True")).otherwise(F.lit("False")).alias("inbound"),
-        F.date_format(F.timestamp_add("MINUTE", tid, F.to_timestamp_ntz(F.lit(THREAD_EPOCH))),
+        F.date_format(F.timestamp_add("MINUTE", minute, F.to_timestamp_ntz(F.lit(THREAD_EPOCH))),
                       TWITTER_FORMAT).alias("created_at"),
         "text",
         F.when(c.turn > 0, (tid - 1).cast("string")).alias("in_response_to_tweet_id"),
@@ -79,7 +88,7 @@ def thread_view(conversations: DataFrame, n_brands: int = 5, with_responses: boo
     if not with_responses:
         return base.withColumn("response_tweet_id", F.lit(None).cast("string")).select(*RAW_MESSAGES.fieldNames())
     nxt = c.select(F.col("conv_id").alias("n_conv"), (F.col("turn") - 1).alias("n_prev"),
-                   (F.col("conv_id") * 1000 + F.col("turn")).cast("string").alias("response_tweet_id"))
+                   (F.col("conv_id") * THREAD_STRIDE + F.col("turn")).cast("string").alias("response_tweet_id"))
     joined = base.join(nxt, (base.conv_id == nxt.n_conv) & (base.turn == nxt.n_prev), "left")
     return joined.select(*RAW_MESSAGES.fieldNames())
 

@@ -40,12 +40,13 @@ def materialize(df: DataFrame, path: str) -> str:
     return path
 
 
-def file_stream(spark: SparkSession, source: str, schema, glob: str | None = None) -> DataFrame:
-    """File-source stream over a folder (optionally only the files matching ``glob``)."""
-    r = spark.readStream.schema(schema)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.parquet(source)
+def file_stream(spark: SparkSession, source: str, schema) -> DataFrame:
+    """File-source stream over a Parquet table, be it a folder of part files or one
+    file. The source takes a plain path for a folder's base, so a table that may be a
+    single file is named by a pattern that matches just it."""
+    if source.endswith(".parquet"):
+        source = source[:-1] + "[t]"
+    return spark.readStream.schema(schema).parquet(source)
 
 
 def _run(writer, available_now: bool = True):
@@ -66,11 +67,10 @@ def hourly_counts(events: DataFrame, ts_col: str = "ts", key_col: str = "event_t
                   .select(F.col("w.start").alias("window_start"), key_col, "n", "total_value"))
 
 
-def run_hourly_counts(spark: SparkSession, source_path: str, schema, root: str | None = None,
-                      glob: str | None = None, **kw) -> DataFrame:
+def run_hourly_counts(spark: SparkSession, source_path: str, schema, root: str | None = None, **kw) -> DataFrame:
     """Run ST2 over the files at ``source_path`` until caught up; return the final table."""
     root = root or stream_root(spark, "hourly")
-    stream = file_stream(spark, source_path, schema, glob)
+    stream = file_stream(spark, source_path, schema)
     agg = hourly_counts(stream, **kw)
 
     def sink(batch: DataFrame, batch_id: int):
@@ -87,11 +87,10 @@ def latest_versions(changes: DataFrame, keys) -> DataFrame:
     return last.select(*keys, "v.*").drop("batch_id")
 
 
-def running_totals(spark: SparkSession, source_path: str, schema, key_col: str, root: str | None = None,
-                   glob: str | None = None) -> DataFrame:
+def running_totals(spark: SparkSession, source_path: str, schema, key_col: str, root: str | None = None) -> DataFrame:
     """ST2 running counters per key (complete mode; the last batch holds the totals)."""
     root = root or stream_root(spark, "totals")
-    stream = file_stream(spark, source_path, schema, glob)
+    stream = file_stream(spark, source_path, schema)
     agg = stream.groupBy(key_col).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total_value"))
 
     def sink(batch: DataFrame, batch_id: int):
@@ -117,23 +116,39 @@ def score_stream(spark: SparkSession, messages_path: str, schema, score_batch, r
 
 
 # --------------------------------------------------------------------------- ST3
+def _gated(j: DataFrame) -> DataFrame:
+    gated = j.filter(P.reason_from_clean(F.col("customer_message"), F.col("support_response")) == P.R_VALID)
+    return gated.select(
+        F.concat_ws("_", F.lit("case"), "customer_tweet_id", "support_tweet_id").alias("case_id"), "brand",
+        "customer_tweet_id", "customer_author_id", "customer_message", "customer_raw_text", "support_tweet_id",
+        "support_response", "support_raw_text", "created_at", "support_created_at", "customer_ts", "support_ts")
+
+
 def pair_stream(spark: SparkSession, messages_path: str, schema, brand: str | None = None,
                 watermark: str = "1 day", max_delay: str = "7 days", root: str | None = None) -> DataFrame:
     """Stream-stream pairing of replies with parents; both sides carry a watermark
     and the join has an event-time bound, so state is dropped once the watermark
-    passes ``parent time + max_delay``."""
+    passes ``parent time + max_delay``. Pairs that the bounded state cannot hold (no
+    parseable time, replies before their parent or after the bound, rows behind the
+    watermark) are found by ``late_pairs`` over the stored messages, so none is lost."""
     root = root or stream_root(spark, "pairs")
     msgs = file_stream(spark, messages_path, schema)
     r = P.brand_replies(msgs, brand).withWatermark("support_ts", watermark)
     c = P.customer_messages(msgs).withWatermark("customer_ts", watermark)
     j = r.join(c, F.expr(f"""parent_id = customer_tweet_id AND support_ts >= customer_ts
                               AND support_ts <= customer_ts + interval {max_delay}"""), "inner")
-    gated = j.filter(P.reason_from_clean(F.col("customer_message"), F.col("support_response")) == P.R_VALID)
-    out = gated.select(
-        F.concat_ws("_", F.lit("case"), "customer_tweet_id", "support_tweet_id").alias("case_id"), "brand",
-        "customer_tweet_id", "customer_author_id", "customer_message", "customer_raw_text", "support_tweet_id",
-        "support_response", "support_raw_text", "created_at", "support_created_at", "customer_ts", "support_ts")
+    out = _gated(j)
     _run(out.writeStream.format("parquet").option("path", f"{root}/out")
             .option("checkpointLocation", f"{root}/ckpt").outputMode("append"))
+    paired = spark.read.schema(out.schema).parquet(f"{root}/out")
+    late = late_pairs(spark.read.schema(schema).parquet(messages_path), paired, brand)
     # keep-first per cleaned text pair over everything matched so far (batch semantics)
-    return P.keep_first(spark.read.parquet(f"{root}/out"))
+    return P.keep_first(paired.unionByName(late))
+
+
+def late_pairs(msgs: DataFrame, paired: DataFrame, brand: str | None = None) -> DataFrame:
+    """Links between stored messages that are not among the ``paired`` ones: the side
+    output for late and undated rows, to be run from time to time beside the stream."""
+    links = P.brand_replies(msgs, brand).join(P.customer_messages(msgs), F.col("parent_id") == F.col("customer_tweet_id"))
+    done = paired.select("customer_tweet_id", "support_tweet_id")
+    return _gated(links.join(done, ["customer_tweet_id", "support_tweet_id"], "anti"))

@@ -1,9 +1,12 @@
 """External answer merge and streaming-vs-batch equality."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from parley.operators import external as X
-from parley.sources.tables import table
+from parley.operators import pairs as P
+from parley.operators import respond as RS
+from parley.sources.tables import table, typed_messages
 from parley.streaming import streams as SS
 from conftest import SF
 
@@ -23,15 +26,52 @@ def test_merge_classifications(spark):
     assert out[3]["intent"] == "other_support"
 
 
-def test_hourly_stream_equals_batch(spark):
+def test_merge_asks_only_below_the_gate(spark):
+    pred = spark.createDataFrame([(1, "a", 0.2, "tfidf_low_confidence"), (2, "a", 0.5, "tfidf_primary"),
+                                  (3, "a", 0.2, "tfidf_low_confidence"), (4, "a", 0.2, "tfidf_low_confidence")],
+                                 "id long, intent string, confidence double, source string")
+    resp = spark.createDataFrame([(1, '{"intent": "b", "confidence": "high"}'), (2, '{"intent": "b", "confidence": 0.9}'),
+                                  (3, '{"intent": "b"}'), (4, '{"intent": "b", "confidence": "0.6"}')], "id long, raw string")
+    out = {r["id"]: (r["intent"], r["confidence"], r["source"]) for r in X.merge_classifications(pred, resp, ["a", "b"]).collect()}
+    assert out == {1: ("a", 0.2, "tfidf_low_confidence"), 2: ("a", 0.5, "tfidf_primary"),
+                   3: ("b", 0.75, "llm_fallback"), 4: ("b", 0.6, "llm_fallback")}
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_hourly_stream_equals_batch(spark, tmp_path, folder):
     ev = table(spark, SF, "events")
-    s = SS.run_hourly_counts(spark, SF, ev.schema, glob="events.parquet")
+    source = f"{SF}/events.parquet"
+    if folder:
+        source = str(tmp_path / "events.parquet")
+        ev.repartition(3).write.parquet(source)
+    s = SS.run_hourly_counts(spark, source, ev.schema)
     b = (ev.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("window_start"), "event_type")
            .agg(F.count(F.lit(1)).alias("n")))
     assert s.select("window_start", "event_type", "n").exceptAll(b).count() == 0
     assert b.exceptAll(s.select("window_start", "event_type", "n")).count() == 0
 
 
+def test_stream_pairs_keep_late_and_undated_rows(spark, tmp_path):
+    day = "Tue Oct {:02d} 10:00:00 +0000 2017".format
+    rows = []
+    for k, (asked, told) in enumerate([(day(1), day(2)), (day(3), day(28)), (None, day(4)), (day(5), "garbage"), (day(9), day(8))]):
+        rows.append((f"c{k}", f"u{k}", "True", asked, f"my question number {k} is here", None, None))
+        rows.append((f"r{k}", "brand", "False", told, f"an answer to number {k}", None, f"c{k}"))
+    raw = spark.createDataFrame(rows, ("tweet_id string, author_id string, inbound string, created_at string, text string, "
+                                       "response_tweet_id string, in_response_to_tweet_id string"))
+    msgs = typed_messages(raw)
+    path = SS.materialize(msgs, str(tmp_path / "messages"))
+    stream, batch = SS.pair_stream(spark, path, msgs.schema), P.pair_replies(msgs)
+    assert batch.count() == 5
+    assert sorted(map(tuple, stream.collect()), key=str) == sorted(map(tuple, batch.collect()), key=str)
+
+
+def test_url_check_finds_inner_starts(spark):
+    replies = ["see https://t.co/abc", "https://t.co/x?u=https://evil.example/1", "https://evil.example", "http://spotify.com/a", "none"]
+    got = spark.createDataFrame([(k, r) for k, r in enumerate(replies)], "k int, r string").select("k", RS._fake_url(F.lower("r")).alias("bad"))
+    assert [r["bad"] for r in got.orderBy("k").collect()] == [False, True, True, False, False]
+
+
 def test_to_json_lines(spark):
     df = spark.createDataFrame([(1, "a")], "id long, v string")
     assert X.to_json_lines(df).first()["json"] == '{"id":1,"v":"a"}'
@@ -46,3 +86,6 @@ def test_read_query_file_shapes(spark, tmp_path):
     b.write_text(json.dumps({"queries": [{"id": "q3", "text": "cancel please"}]}))
     assert sorted(r["id"] for r in read_query_file(spark, str(a)).collect()) == ["q1", "q2"]
     assert [r["id"] for r in read_query_file(spark, str(b)).collect()] == ["q3"]
+    c = tmp_path / "c.json"
+    c.write_text(json.dumps(["my music stops", "charged twice"]))
+    assert sorted(r["text"] for r in read_query_file(spark, str(c)).collect()) == ["charged twice", "my music stops"]

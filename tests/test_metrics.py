@@ -57,10 +57,16 @@ def test_spearman_constant_input(spark):
 
 def test_confusion_dense(spark):
     df = spark.createDataFrame([("x", "x"), ("x", "y"), ("z", "z")], "y string, p string")
-    cells = {(r["true_label"], r["pred_label"]): r["n"] for r in M.confusion(df, "y", "p").collect()}
+    cells = {(r["true_label"], r["pred_label"]): r["n"] for r in M.confusion(df, "y", "p", dense=True).collect()}
     assert len(cells) == 9 and cells[("x", "y")] == 1 and cells[("y", "x")] == 0
 
 
 def test_majority_label_tie(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",)], "y string")
     assert M.majority_label(df, "y").first()[0] == "a"
+
+
+def test_confusion_has_no_label_limit(spark):
+    df = spark.range(20_000).selectExpr("cast(id as string) AS y", "cast((id + id % 2) % 20000 as string) AS p")
+    got = M.confusion(df, "y", "p")
+    assert got.count() == 20_000 and got.filter("true_label = pred_label").count() == 10_000

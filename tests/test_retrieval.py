@@ -27,7 +27,7 @@ def test_dense_blocks_equal_single(spark):
     emb = spark.read.parquet(f"{SF}/embeddings.parquet")
     q = emb.filter(F.col("label") < 3).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))
     one = RT.dense_search(emb, q, k=4)
-    many = RT.dense_search(emb, q, k=4, max_block=4)
+    many = RT.dense_search(emb, q, k=4, chunk=4)
     assert _rows(one) == _rows(many)
     # every query finds itself first (unit vectors)
     top = {r["qid"]: r["id"] for r in one.filter("rank = 1").collect()}

@@ -14,8 +14,9 @@ order of their bounds and stops at the first whose bound is below the floor (equ
 bounds are searched, for ties). All of it is exact: pivots and cuts, fitted on a bounded sample of
 ``sample`` vectors, only decide how much is searched.
 
-Annuli meet their queries in groups of at most about ``chunk`` vectors and ``chunk``
-queries: a crowded annulus is split into chunks, many queries into blocks. Tables on
+The vectors of a pivot meet their queries in groups of at most about ``chunk`` vectors
+and ``chunk`` queries, sorted by annulus: a crowded pivot is split into chunks, many
+queries into blocks. Tables on
 the driver: pivots * annuli figures, whatever the input.
 
 Vectors that are null or hold null or non-finite components, and rows without id, take
@@ -75,7 +76,7 @@ def fit_index(rows: DataFrame, most: dict[int, float], pivots: int, annuli: int,
 
 def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 20,
           pivots: int = 32, annuli: int = 8, sample: int = 4096, seed: int = 2000, chunk: int = 8192) -> DataFrame:
-    """(query_id, rank int from 1, id_col, score long): the k candidates of the highest
+    """``annuli``: 62 at most. (query_id, rank int from 1, id_col, score long): the k candidates of the highest
     inner product for every row that ``queries`` (a condition on ``vectors``) holds for,
     ties to the smaller id."""
     rows = vectors.filter(finite(vec_col) & F.col(id_col).isNotNull()).select(
@@ -101,58 +102,71 @@ def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec_col:
     asked = keyed.filter("asks").select("id", "vec", "dim").dropDuplicates(["id", "vec"])
     blocks = max(1, -(-sum(c[6] or 0 for c in cells) // chunk))
     by_dim = {dim: sorted(c for c in cells if c[0] == dim) for dim in most}
+    held_by: dict[tuple, int] = {}
+    for c in cells:
+        held_by[c[0], c[1]] = held_by.get((c[0], c[1]), 0) + c[5]
 
     def visits(frames, second: bool):
-        """The cells that a query searches: the seeds, or with a floor all others that may reach it."""
+        """Per query and pivot the annuli (bits) that it searches: the seeds, or with a
+        floor all others that may reach it."""
         for f in frames:
-            for dim, part in f.groupby("dim"):
+            for dim, whole in f.groupby("dim"):
                 own, (centres, _) = by_dim[dim], index[dim]
-                x = np.array(part["vec"].tolist(), float)
-                d = _distances(np.column_stack([x, np.zeros(len(x))]), centres)[:, [c[1] for c in own]]
                 near, far, size = (np.array([c[j] for c in own], float) for j in (3, 4, 5))
-                least = np.maximum(np.maximum(near - d, d - far) * (1 - SLACK) - SLACK, 0)
-                bound = ((x * x).sum(axis=1)[:, None] + most[dim] - least * least) / 2 * (1 + SLACK) + 1
-                order = np.argsort(-bound, axis=1, kind="stable")
-                held = np.cumsum(size[order], axis=1) - size[order]
-                wanted = held < seed
-                if second:
-                    wanted = ~wanted & (np.take_along_axis(bound, order, axis=1) >= part["floor"].to_numpy()[:, None])
-                q, c = np.nonzero(wanted)
-                c = order[q, c]
-                yield part.iloc[q].assign(pivot=np.array([own[j][1] for j in c], "int32"), ring=np.array([own[j][2] for j in c], "int32"),
-                                          chunks=np.array([-(-own[j][5] // chunk) for j in c], "int32"))
+                pivot, ring = np.array([c[1] for c in own]), np.array([c[2] for c in own])
+                for k in range(0, len(whole), 1000):
+                    part = whole.iloc[k:k + 1000]
+                    x = np.array(part["vec"].tolist(), float)
+                    d = _distances(np.column_stack([x, np.zeros(len(x))]), centres)[:, pivot]
+                    least = np.maximum(np.maximum(near - d, d - far) * (1 - SLACK) - SLACK, 0)
+                    bound = ((x * x).sum(axis=1)[:, None] + most[dim] - least * least) / 2 * (1 + SLACK) + 1
+                    order = np.argsort(-bound, axis=1, kind="stable")
+                    wanted = np.cumsum(size[order], axis=1) - size[order] < seed
+                    if second:
+                        wanted = ~wanted & (np.take_along_axis(bound, order, axis=1) >= part["floor"].to_numpy()[:, None])
+                    q, c = np.nonzero(wanted)
+                    c = order[q, c]
+                    bits = np.zeros((len(part), len(centres)), np.int64)
+                    np.bitwise_or.at(bits, (q, pivot[c]), np.int64(1) << ring[c])
+                    q, p = np.nonzero(bits)
+                    yield part.iloc[q].assign(pivot=p.astype("int32"), rings=bits[q, p],
+                                              chunks=np.array([-(-held_by[dim, j] // chunk) for j in p.tolist()], "int32"))
 
     def search(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Best k per query of one group; ``left``: queries, ``right``: candidates."""
+        """Best k per query of one group, annulus by annulus; ``left``: queries, ``right``: candidates."""
         found = []
         if len(left) and len(right):
-            right = right.sort_values("id", kind="stable")
-            ids, x = right["id"].to_numpy(), np.array(right["vec"].tolist(), float)
-            for a in range(0, len(left), 512):
-                part = left.iloc[a:a + 512]
-                q, own = np.array(part["vec"].tolist(), float), part["id"].to_numpy()
-                score = q @ x.T
-                score[own[:, None] == ids[None, :]] = -np.inf
-                low = np.partition(score, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(part), -np.inf)
-                i, j = np.nonzero((score >= np.maximum(low, part["floor"].to_numpy())[:, None]) & (score > -np.inf))
-                f = pd.DataFrame({"query_id": own[i], "vec_id": ids[j], "score": score[i, j]}).sort_values(
-                    ["query_id", "score", "vec_id"], ascending=[True, False, True])
-                found.append(f.groupby("query_id", sort=False).head(k))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            right = right.sort_values(["ring", "id"], kind="stable")
+            ids, rings, x = right["id"].to_numpy(), right["ring"].to_numpy(), np.array(right["vec"].tolist(), float)
+            q, own, floor, bits = np.array(left["vec"].tolist(), float), left["id"].to_numpy(), left["floor"].to_numpy(), left["rings"].to_numpy()
+            for r in np.unique(rings):
+                at = slice(*np.searchsorted(rings, [r, r + 1]))
+                here = np.flatnonzero(bits >> r & 1)
+                for a in range(0, len(here), 512):
+                    some = here[a:a + 512]
+                    score = q[some] @ x[at].T
+                    score[own[some][:, None] == ids[at][None, :]] = -np.inf
+                    low = np.partition(score, -k, axis=1)[:, -k] if score.shape[1] > k else np.full(len(some), -np.inf)
+                    i, j = np.nonzero((score >= np.maximum(low, floor[some])[:, None]) & (score > -np.inf))
+                    f = pd.DataFrame({"query_id": own[some][i], "vec_id": ids[at][j], "score": score[i, j]})
+                    found.append(f.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k))
+        if not found:
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        return pd.concat(found).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k)
 
     def round_of(asking: DataFrame, second: bool) -> DataFrame:
-        seen = (asking.mapInPandas(lambda frames: visits(frames, second), "id long, vec array<double>, dim int, floor double, pivot int, ring int, chunks int")
+        seen = (asking.mapInPandas(lambda frames: visits(frames, second), "id long, vec array<double>, dim int, floor double, pivot int, rings long, chunks int")
                 .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
                 .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
-        pieces = keyed.select("id", "vec", "dim", "pivot", "ring").join(F.broadcast(chunk_counts), ["dim", "pivot", "ring"]) \
+        pieces = keyed.select("id", "vec", "dim", "pivot", "ring").join(F.broadcast(chunk_counts), ["dim", "pivot"]) \
             .withColumn("chunk", F.pmod(F.xxhash64("id", "vec"), F.col("chunks")).cast("int")) \
             .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        key = ["dim", "pivot", "ring", "chunk", "block"]
+        key = ["dim", "pivot", "chunk", "block"]
         return seen.groupBy(*key).cogroup(pieces.groupBy(*key)).applyInPandas(search, "query_id long, vec_id long, score double")
 
     spark = vectors.sparkSession
-    # one row per cell: at most pivots * annuli per vector length
-    chunk_counts = spark.createDataFrame([(c[0], c[1], c[2], -(-c[5] // chunk)) for c in cells], "dim int, pivot int, ring int, chunks int")
+    # one row per pivot and vector length
+    chunk_counts = spark.createDataFrame([(d, p, -(-n // chunk)) for (d, p), n in sorted(held_by.items())], "dim int, pivot int, chunks int")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def ranked(df: DataFrame) -> DataFrame:

@@ -217,8 +217,9 @@ class Boosted:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 30, depth: int = 4, rate: float = 0.25, bins: int = 16) -> Boosted:
-    """Softmax boosting with second-order leaf values."""
+def boost(x: np.ndarray, y: np.ndarray, rounds: int = 30, depth: int = 4, rate: float = 0.25, bins: int = 16, seed: int = 1) -> Boosted:
+    """Softmax boosting with second-order leaf values; each tree sees half of the features."""
+    rng = np.random.default_rng(seed)
     cuts = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, bins + 1)[1:-1])) for k in range(x.shape[1])]
     model = Boosted(cuts, np.zeros((0, 2 ** depth - 1), np.int64), np.zeros((0, 2 ** depth - 1), np.int64), np.zeros((0, 2 ** depth)))
     binned = model.bins(x).astype(np.int64)
@@ -230,14 +231,13 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 30, depth: int = 4, rate:
         p /= p.sum(axis=1, keepdims=True)
         for c in range(3):
             g, h = p[:, c] - goal[:, c], np.maximum(p[:, c] * (1 - p[:, c]), 1e-6)
+            some = [k for k in rng.choice(width, (width + 1) // 2, replace=False).tolist() if len(cuts[k])]
             feature, cut, at = np.zeros(2 ** depth - 1, np.int64), np.full(2 ** depth - 1, bins), np.zeros(n, np.int64)
             for level in range(depth):
                 first, nodes = 2 ** level - 1, 2 ** level
                 place = (at - first) * bins
                 best = np.full(nodes, 1e-6)
-                for k in range(width):
-                    if not len(cuts[k]):
-                        continue
+                for k in some:
                     slot = place + binned[:, k]
                     gs = np.bincount(slot, g, nodes * bins).reshape(nodes, bins).cumsum(axis=1)
                     hs = np.bincount(slot, h, nodes * bins).reshape(nodes, bins).cumsum(axis=1)
@@ -356,6 +356,8 @@ def layout(rng: np.random.Generator, paragraphs: list[str]) -> str:
 
     def article():
         body = (heading(pick([1, 1, 2])) if chance(0.8) else "") + many(1, pick([1, 3, 8, 20]), piece)
+        if chance(0.12):  # boilerplate inside the article
+            body += pick([comments, form, notice, footer, share, side])()
         if chance(0.3):
             body = f"<div{attrs(['body', 'article-body', 'entry-content', 'text', 'post-content', 'prose'])}>{body}</div>"
         tag = pick(["article", "article", "article", "main", "div", "div", "section", ""])
@@ -443,7 +445,7 @@ def sample_paragraphs(pages: DataFrame, id_col: str, html_col: str, sample: int)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",),
-            sample: int = 100, layouts: int = 500) -> DataFrame:
+            sample: int = 100, layouts: int = 700) -> DataFrame:
     """(id_col, *keep, text string, n_chars long) for every row of ``pages``."""
     model = train(sample_paragraphs(pages, id_col, html_col, sample), layouts)
     shared = pages.sparkSession.sparkContext.broadcast(model)

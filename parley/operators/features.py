@@ -65,19 +65,23 @@ class TfidfSpec:
     stop_words: tuple | None = None
 
 
-def term_counts(docs: DataFrame, id_col: str, text_col: str, spec: TfidfSpec) -> DataFrame:
-    """(id, term, tf) for every document.
+def term_counts(docs: DataFrame, id_col: str, text_col: str, spec: TfidfSpec, vocab: DataFrame | None = None) -> DataFrame:
+    """(id, term, tf) for every document; with a ``vocab`` of at most ``max_features``
+    terms, (id, term, idf, tf) of its terms only, met by broadcast before anything is counted.
 
     Tokens are projected first and the n-gram lambda reads that column, so the
     tokenizing regexp runs once per document, not once per n-gram position.
     Documents are hash-partitioned by id before the explode: the raw text moves
-    once (ids are unique, no hot key) and the (id, term) counts, the per-document
-    norms and the weight/norm join downstream all reuse that partitioning instead
-    of shuffling the exploded n-grams (several times the text size)."""
+    once (ids are unique, no hot key) and the (id, term) counts and the
+    per-document norms downstream reuse that partitioning instead of shuffling
+    the exploded n-grams (several times the text size)."""
     tok = docs.repartition(F.col(id_col)).select(F.col(id_col).alias("id"),
                       tokens(text_col, list(spec.stop_words) if spec.stop_words else None).alias("tok"))
-    return (tok.select("id", F.explode(ngrams("tok", spec.n_min, spec.n_max)).alias("term"))
-               .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    terms = tok.select("id", F.explode(ngrams("tok", spec.n_min, spec.n_max)).alias("term"))
+    if vocab is None:
+        return terms.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    known = terms.join(checked_broadcast(vocab.select("term", "idf"), spec.max_features), "term")
+    return known.groupBy("id", "term", "idf").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def fit_vocabulary(tf: DataFrame, n_docs: DataFrame, spec: TfidfSpec) -> DataFrame:
@@ -93,12 +97,14 @@ def fit_vocabulary(tf: DataFrame, n_docs: DataFrame, spec: TfidfSpec) -> DataFra
 
 
 def transform(tf: DataFrame, vocab: DataFrame, spec: TfidfSpec) -> DataFrame:
-    """(id, term, weight), L2-normalised per id; out-of-vocabulary terms dropped."""
-    v = checked_broadcast(vocab.select("term", "idf"), spec.max_features)
+    """(id, term, weight), L2-normalised per id; out-of-vocabulary terms dropped. A
+    document's weights and their norm come from one aggregate (a list as long as the
+    document's distinct terms), so the counts are read once."""
     raw = (F.lit(1.0) + F.log(F.col("tf"))) if spec.sublinear_tf else F.col("tf").cast("double")
-    w = tf.join(v, "term").select("id", "term", (raw * F.col("idf")).alias("w"))
-    norms = w.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norms, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("weight"))
+    known = tf if "idf" in tf.columns else tf.join(checked_broadcast(vocab.select("term", "idf"), spec.max_features), "term")
+    w = known.select("id", "term", (raw * F.col("idf")).alias("w"))
+    rows = w.groupBy("id").agg(F.collect_list(F.struct("term", "w")).alias("ws"), F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    return rows.select("id", "norm", F.explode("ws").alias("x")).select("id", "x.term", (F.col("x.w") / F.col("norm")).alias("weight"))
 
 
 def tfidf(docs: DataFrame, id_col: str, text_col: str, spec: TfidfSpec = TfidfSpec()):
@@ -106,6 +112,8 @@ def tfidf(docs: DataFrame, id_col: str, text_col: str, spec: TfidfSpec = TfidfSp
     n_docs = docs.agg(F.count(F.lit(1)).alias("n"))
     tf = term_counts(docs, id_col, text_col, spec)
     vocab = fit_vocabulary(tf, n_docs, spec)
+    if spec.max_features is not None:
+        tf = term_counts(docs, id_col, text_col, spec, vocab)
     return transform(tf, vocab, spec), vocab
 
 

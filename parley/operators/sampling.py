@@ -105,27 +105,28 @@ class Stratum:
 def quota_sample(pool: DataFrame, strata: Sequence[Stratum], id_col: str, seed: int = 42,
                  cap: int | None = None) -> DataFrame:
     """R2: strata in priority order, each takes up to ``quota`` not-yet-taken rows
-    by hash order. The loop runs over the strata spec (not rows); every stratum is
-    a distributed top-k; ``taken`` is bounded by the sum of quotas, so it is a
-    proven-small broadcast, and its lineage is cut after every stratum."""
-    # One pass evaluates every stratum predicate; the narrow (id, hash, flags) table is
-    # written once, so the strata below filter booleans instead of re-running text tests.
-    flags = [F.coalesce(st.predicate, F.lit(False)).alias(f"__p{i}") for i, st in enumerate(strata)]
-    keyed = reliable_checkpoint(pool.select(F.col(id_col), hash_key(id_col, seed).alias("__h"), *flags))
-    bound = sum(x.quota for x in strata)
-    taken = None
+    by hash order.
+
+    Earlier strata take at most the sum of their quotas, so stratum i finds all its
+    rows among its first sum(quota[:i+1]) by hash. One pass keeps just these (a
+    constant bound: WindowGroupLimit trims every task), and the priorities are settled
+    on those few ids, whose number depends on the quotas alone."""
+    flags = F.array(*[F.when(F.coalesce(st.predicate, F.lit(False)), F.lit(i)) for i, st in enumerate(strata)])
+    reach = [sum(x.quota for x in strata[:i + 1]) for i in range(len(strata))]
+    rows = (pool.select(F.col(id_col), hash_key(id_col, seed).alias("__h"), F.explode(F.array_compact(flags)).alias("__s"))
+            .withColumn("__r", F.row_number().over(Window.partitionBy("__s").orderBy("__h", id_col)))
+            .filter(F.col("__r") <= max(reach, default=0))
+            .filter(F.col("__r") <= F.element_at(F.array(*[F.lit(x) for x in reach or [0]]), F.col("__s") + 1)))
+    found: dict[int, list] = {}
+    for r in rows.select("__s", "__h", id_col).collect():   # at most the sum of ``reach``
+        found.setdefault(r["__s"], []).append((r["__h"], r[id_col]))
+    taken: dict = {}
     for i, s in enumerate(strata):
-        cand = keyed.filter(F.col(f"__p{i}"))
-        if taken is not None:
-            # taken holds at most sum(quotas) rows: a proven bound
-            cand = cand.join(checked_broadcast(taken.select(id_col), bound), id_col, "left_anti")
-        pick = (cand.orderBy("__h", id_col).limit(s.quota).select(id_col, "__h")
-                    .withColumn("stratum", F.lit(i + 1))
-                    .withColumn("target_difficulty", F.lit(s.difficulty))
-                    .withColumn("category_tag", F.lit(s.tag)))
-        taken = pick if taken is None else taken.unionByName(pick)
-        taken = reliable_checkpoint(taken)
-    if cap is not None:
-        taken = taken.orderBy("stratum", "__h", id_col).limit(cap)
+        own = [x for x in sorted(found.get(i, [])) if x[1] not in taken][:s.quota]
+        taken.update((x[1], (i + 1, s.difficulty, s.tag)) for x in own)
+    kept = list(taken.items())[:cap]   # stratum by stratum, by hash within
+    kind = pool.schema[id_col].dataType.simpleString()
+    picks = pool.sparkSession.createDataFrame([(k, *v) for k, v in kept],
+                                              f"`{id_col}` {kind}, stratum int, target_difficulty string, category_tag string")
     # carry the pool's other columns for the picked ids (<= sum(quotas) rows on the small side)
-    return pool.join(checked_broadcast(taken.drop("__h"), bound), id_col)
+    return pool.join(checked_broadcast(picks, sum(x.quota for x in strata)), id_col)

@@ -428,9 +428,10 @@ def train(paragraphs: list[str], layouts: int, seed: int = 11) -> Boosted:
 
 
 def sample_paragraphs(pages: DataFrame, id_col: str, html_col: str, sample: int) -> list[str]:
-    """Block texts of a bounded sample of pages; they fill the layouts."""
-    rows = pages.select(id_col, F.substring(html_col, 1, 20_000).alias("html")).filter("length(html) > 0").orderBy(
-        F.xxhash64(id_col, "html"), id_col).limit(sample).collect()
+    """Block texts of a bounded sample of pages (at most ``sample``, of at most 100,000
+    characters each); they fill the layouts."""
+    rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html")).filter("length(html) BETWEEN 1 AND 100000").orderBy(
+        F.xxhash64("id", "html"), "id").limit(sample).collect()
     out = []
     for r in rows:
         tree, block = parse(r["html"]), []

@@ -6,6 +6,8 @@ lists use ``orderBy().limit()`` (TakeOrderedAndProject: per-task top-k first).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,11 +38,13 @@ def message_summary(msgs: DataFrame, approx: bool = False) -> DataFrame:
         _pct("with_parent", "total_rows").alias("pct_with_parent"))
 
 
-def null_report(df: DataFrame) -> DataFrame:
-    """A2: (column, missing, pct_missing) for every column, one scan."""
+def null_report(df: DataFrame, na_tokens: Sequence[str] = ()) -> DataFrame:
+    """A2: (column, missing, pct_missing) for every column, one scan. Strings among
+    ``na_tokens`` (e.g. "", "NA", "nan") count as missing too."""
     cols = df.columns
+    missing = lambda c: F.col(c).isNull() | F.col(c).cast("string").isin(*na_tokens) if na_tokens else F.col(c).isNull()
     wide = df.agg(F.count(F.lit(1)).alias("__n"),
-                  *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+                  *[F.count_if(missing(c)).alias(c) for c in cols])
     long = wide.unpivot("__n", cols, "column", "missing")
     return long.select("column", F.col("missing").cast("bigint").alias("missing"),
                        _pct("missing", "__n").alias("pct_missing"))

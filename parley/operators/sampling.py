@@ -30,6 +30,11 @@ def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame
     return df.withColumn("__h", hash_key(id_col, seed)).orderBy("__h", id_col).limit(n).drop("__h")
 
 
+def tail(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The last ``n`` rows in ascending ``order`` (a distributed top-n from the end)."""
+    return df.orderBy(*[F.col(c).desc() for c in order]).limit(n).orderBy(*order)
+
+
 def global_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank",
                 group: str | None = None, num_partitions: int | None = None,
                 keep_total: bool = False) -> DataFrame:

@@ -115,8 +115,10 @@ def judge_scored(scored: DataFrame) -> DataFrame:
                                                                           "__ev_words")
 
 
-def evaluate(judged: DataFrame, truth: DataFrame) -> dict[str, DataFrame]:
-    """Metric tables of a judged run against truth(msg_id, intent, expected_decision)."""
+def evaluate(judged: DataFrame, truth: DataFrame, first: int | None = None) -> dict[str, DataFrame]:
+    """Metric tables of a judged run against truth(msg_id, intent, expected_decision);
+    ``first``: only that many rows of truth, in id order (S14)."""
+    truth = truth if first is None else truth.orderBy("msg_id").limit(first)
     t = truth.select("msg_id", F.col("intent").alias("true_intent"), "expected_decision")
     j = judged.join(t, "msg_id")
     dims = ["relevance", "groundedness", "helpfulness", "style", "unsupported_claims", "overall"]
@@ -137,6 +139,12 @@ def evaluate(judged: DataFrame, truth: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def write_report(tables: dict[str, DataFrame], path: str) -> None:
+    """Every table of ``evaluate`` as JSON lines in a folder of its own."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").json(f"{path}/{name}")
+
+
 def evaluation_summary(judged: DataFrame, truth: DataFrame) -> DataFrame:
     """One-row report in a single aggregate: intent accuracy, retrieval quality
     (A20 incl. intent alignment), decision counts and rates (A21/A22), mean

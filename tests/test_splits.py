@@ -48,3 +48,26 @@ def test_upsert(spark):
     upd = spark.createDataFrame([(2, "B"), (3, "c")], "id long, v string")
     out = sorted(tuple(r) for r in ST.upsert(base, upd, ["id"]).collect())
     assert out == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_tail_and_missing_tokens(spark):
+    from parley.operators.profile import null_report
+    from parley.operators.sampling import tail
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(["a", "NA", None, "", "b"])], "k int, v string")
+    assert [r["k"] for r in tail(df, ["k"], 2).collect()] == [3, 4]
+    got = {r["column"]: r["missing"] for r in null_report(df, ["", "NA"]).collect()}
+    assert got == {"k": 0, "v": 3} and {r["column"]: r["missing"] for r in null_report(df).collect()} == {"k": 0, "v": 1}
+
+
+def test_report_and_row_limit(spark, tmp_path):
+    from parley.plans import jobs as J
+    ev = "array<struct<case_id: string, intent: string>>"
+    judge = "struct<relevance: int, groundedness: int, helpfulness: int, style: int, unsupported_claims: int, overall: int>"
+    rows = [(f"m{k}", "a" if k % 2 else "b", 0.65, "escalate" if k < 3 else "auto_handle", 0.5, [("c", "a")] if k else [], (k % 5 + 1,) * 6) for k in range(6)]
+    judged = spark.createDataFrame(rows, f"msg_id string, intent string, confidence double, decision string, evidence_strength double, evidence {ev}, judge {judge}")
+    truth = spark.createDataFrame([(f"m{k}", "a", "escalate") for k in range(6)], "msg_id string, intent string, expected_decision string")
+    assert J.evaluate(judged, truth)["intent_summary"].first()["n"] == 6
+    tables = J.evaluate(judged, truth, first=4)
+    assert tables["intent_summary"].first()["n"] == 4
+    J.write_report(tables, str(tmp_path))
+    assert spark.read.json(f"{tmp_path}/decisions").first()["tp"] == 3

@@ -107,7 +107,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encoded_digests(docs: DataFrame, ids: bool = False) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    out = bpe.decode(bpe.encode(docs, path), path)
+    out = bpe.encode(docs, path, decoded=True)
     return out.select("doc_id", "n_tokens", *["ids"] * ids, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 

@@ -56,6 +56,8 @@ def test_bpe_is_the_library(spark, library, hot):
         ids = np.array(library.encode_ordinary(t or ""), "<u4")
         want.append((k if k != 3 else -1, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), (t or "").encode()))
     assert got == sorted(want)
+    once = bpe.encode(docs, RANKS, hot_words=hot, decoded=True).collect()
+    assert sorted((r["n_tokens"], bytes(r["ids"]), bytes(r["data"])) for r in once) == sorted((r["n_tokens"], bytes(r["ids"]), bytes(r["data"])) for r in rows)
     assert bpe.encode(docs.limit(0), RANKS).count() == 0
 
 

@@ -110,7 +110,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id_kind = base.schema[id_col].dataType.simpleString()
     found = stage(work.select(F.col(own_id).alias("id"), "key", own_text).mapInArrow(
         chunks, f"id {id_kind}, key long, start int, n int, hash binary"), "chunks")
-    once = found.distinct()
+    once = stage(found.distinct(), "chunk-places")
     repeats = once.groupBy("hash").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "key", "start", "n")).alias("first")) \
         .filter("times > 1").select("hash", F.col("first.key").alias("first_key"), F.col("first.start").alias("first_start"), F.col("first.n").alias("first_n"))
     repeats = stage(repeats, "chunk-repeats")
@@ -118,9 +118,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.struct(F.col("first_start").alias("start"), F.col("first_n").alias("n"), "hash")).alias("wanted"))
     bodies = work.select("key", own_text).join(firsts, "key").select(own_text, "wanted").mapInArrow(fetch, "hash binary, body string")
     bodies = bodies.groupBy("hash").agg(F.min("body").alias("body"))  # rows that agree in id and text give the same body
-    others = once.join(repeats, "hash").filter(~((F.col("key") == F.col("first_key")) & (F.col("start") == F.col("first_start"))))
-    marks = (others.select("hash", "key", "start", "n").join(bodies, "hash").groupBy("key")
-             .agg(F.collect_list(F.struct("start", "n", "body")).alias("marks")))
+    # one row per repeated chunk; the places then meet it in a single join, whose hot hashes Spark splits
+    known = stage(repeats.select("hash", "first_key", "first_start").join(bodies, "hash"), "chunk-bodies")
+    others = once.join(known, "hash").filter(~((F.col("key") == F.col("first_key")) & (F.col("start") == F.col("first_start"))))
+    marks = others.groupBy("key").agg(F.collect_list(F.struct("start", "n", "body")).alias("marks"))
     joined = work.join(marks, "key", "left").select(*[f"c{k}" for k in range(len(names))], "marks")
     fields = [T.StructField(f.name, T.StringType()) if f.name == text_col else f for f in base.schema.fields]
     return joined.mapInArrow(cut, T.StructType([*fields, T.StructField("removed_lines", T.IntegerType())]))

@@ -76,13 +76,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h, body = [], []
-            for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            at, start, h, body = [], [], [], []
+            for k, (text, wanted) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 lines = text.split("\n")
                 for w in wanted:
+                    at.append(k)
+                    start.append(w["start"])
                     h.append(w["hash"])
                     body.append("\n".join(lines[w["start"]:w["start"] + w["n"]]))
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.binary()), pa.array(body, pa.string())], ["hash", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.binary()), pa.array(body, pa.string()), batch.column(0).take(pa.array(at, pa.int64())),
+                                              pa.array(start, pa.int32())], ["hash", "body", "first_key", "first_start"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,16 +114,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = stage(work.select(F.col(own_id).alias("id"), "key", own_text).mapInArrow(
         chunks, f"id {id_kind}, key long, start int, n int, hash binary"), "chunks")
     once = stage(found.distinct(), "chunk-places")
-    repeats = once.groupBy("hash").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "key", "start", "n")).alias("first")) \
-        .filter("times > 1").select("hash", F.col("first.key").alias("first_key"), F.col("first.start").alias("first_start"), F.col("first.n").alias("first_n"))
-    repeats = stage(repeats, "chunk-repeats")
-    firsts = repeats.groupBy(F.col("first_key").alias("key")).agg(F.collect_list(
-        F.struct(F.col("first_start").alias("start"), F.col("first_n").alias("n"), "hash")).alias("wanted"))
-    bodies = work.select("key", own_text).join(firsts, "key").select(own_text, "wanted").mapInArrow(fetch, "hash binary, body string")
-    bodies = bodies.groupBy("hash").agg(F.min("body").alias("body"))  # rows that agree in id and text give the same body
-    # one row per repeated chunk; the places then meet it in a single join, whose hot hashes Spark splits
-    known = stage(repeats.select("hash", "first_key", "first_start").join(bodies, "hash"), "chunk-bodies")
-    others = once.join(known, "hash").filter(~((F.col("key") == F.col("first_key")) & (F.col("start") == F.col("first_start"))))
+    repeats = once.groupBy("hash").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "key", "start", "n")).alias("first")).filter("times > 1")
+    firsts = repeats.groupBy(F.col("first.key").alias("key")).agg(F.collect_list(
+        F.struct(F.col("first.start").alias("start"), F.col("first.n").alias("n"), "hash")).alias("wanted"))
+    # one row per repeated chunk (rows that agree in id and text count once); the places
+    # then meet it in a single join, whose hot hashes Spark splits
+    bodies = work.select("key", own_text).join(firsts, "key").dropDuplicates(["key"]).select("key", own_text, "wanted").mapInArrow(
+        fetch, "hash binary, body string, first_key long, first_start int")
+    others = once.join(bodies, "hash").filter(~((F.col("key") == F.col("first_key")) & (F.col("start") == F.col("first_start"))))
     marks = others.groupBy("key").agg(F.collect_list(F.struct("start", "n", "body")).alias("marks"))
     joined = work.join(marks, "key", "left").select(*[f"c{k}" for k in range(len(names))], "marks")
     fields = [T.StructField(f.name, T.StringType()) if f.name == text_col else f for f in base.schema.fields]

@@ -73,7 +73,7 @@ def rank_map(pieces: list[bytes]) -> Column:
     return F.lit(bytearray(b"".join(slots)))
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -93,15 +93,15 @@ def merge_fold(start: Column, ranks: Column) -> Column:
     the least rank, until no pair has one. The state holds ids and the pairs' ranks, so
     a step looks up only the two pairs that it changes."""
     def rank(a: Column, b: Column) -> Column:
-        return _let(F.concat(a, b), lambda pair: _let(F.crc32(pair), lambda h: _let(
+        return let(F.concat(a, b), lambda pair: let(F.crc32(pair), lambda h: let(
             F.substring(ranks, (h % HALVES[0]).cast("int") * ENTRY + 1, F.lit(ENTRY)), lambda one: F.when(
-                F.substring(one, 1, 2 * WIDTH) == pair, F.substring(one, 2 * WIDTH + 1, WIDTH)).otherwise(_let(
+                F.substring(one, 1, 2 * WIDTH) == pair, F.substring(one, 2 * WIDTH + 1, WIDTH)).otherwise(let(
                     F.substring(ranks, (h % HALVES[1] + HALVES[0]).cast("int") * ENTRY + 1, F.lit(ENTRY)), lambda two: F.when(
                         F.substring(two, 1, 2 * WIDTH) == pair, F.substring(two, 2 * WIDTH + 1, WIDTH)).otherwise(never))))))
 
     def step(state: Column, _: Column) -> Column:
-        return _let(F.coalesce(F.array_min(state["r"]), never), lambda least: F.when(least == never, state).otherwise(
-            _let(F.array_position(state["r"], least).cast("int"), lambda i: merged(state, least, i))))
+        return let(F.coalesce(F.array_min(state["r"]), never), lambda least: F.when(least == never, state).otherwise(
+            let(F.array_position(state["r"], least).cast("int"), lambda i: merged(state, least, i))))
 
     def merged(state: Column, least: Column, i: Column) -> Column:
         p, r = state["p"], state["r"]
@@ -122,7 +122,7 @@ def merge_fold(start: Column, ranks: Column) -> Column:
 def encode_word(word: Column, pieces: list[bytes], ranks: Column) -> Column:
     """Ids of one pre-token: WIDTH bytes each, high byte first, joined."""
     # the literal stands once in the plan, whose text Spark keeps on the driver
-    return _let(ranks, lambda held: _let(byte_ids(word, pieces), lambda b: F.aggregate(
+    return let(ranks, lambda held: let(byte_ids(word, pieces), lambda b: F.aggregate(
         merge_fold(b, held), F.lit(bytearray()), lambda a, x: F.concat(a, x))))
 
 

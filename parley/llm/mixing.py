@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from parley.llm.bpe import let
 from parley.llm.common import stage, text_or_empty
 
-SIGNS = "#$%&*|!@^~<>{}[]=+_"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SIGNS = r"[#$%&*|!@^~<>{}\[\]=+_]"
+CAPITALS = "[A-Z]"
 
 
 @dataclass
@@ -50,8 +50,7 @@ class Classifier:
 def features(text: Column, lang: Column | None) -> dict[str, Column]:
     """Small categorical features of a document."""
     def share(signs: str) -> Column:
-        n = F.length(text)
-        part = (n - F.length(F.translate(text, signs, ""))) / F.greatest(n, F.lit(1))
+        part = F.regexp_count(text, F.lit(signs)) / F.greatest(F.length(text), F.lit(1))
         return F.when(part == 0, "0").when(part < 0.01, "1").when(part < 0.05, "2").when(part < 0.2, "3").otherwise("4")
 
     again = F.regexp_count(text, F.lit(r"(?<!\S)(\S++) \1(?!\S)")) * 40 / F.greatest(F.length(text), F.lit(40))
@@ -110,26 +109,25 @@ def fit(docs: DataFrame, domains: DataFrame, id_col: str = "doc_id", text_col: s
                       [[float(x) for x in matrix[k]] if k < seen else [0.0] * size for k in range(len(names))])
 
 
-def posteriors(model: Classifier, text: Column, lang: Column | None) -> list[Column]:
-    """Per domain the unnormalised log posterior."""
-    found = features(text, lang)
+def with_classes(docs: DataFrame, model: Classifier, text_col: str, lang_col: str | None, steps: int) -> DataFrame:
+    """``docs`` with ``class_``: the rounded posteriors as array<int>, in domain order.
+    The likeliest domain takes what rounding leaves. Every feature is a column of its
+    own before the sums, so that it is computed once for all domains."""
+    text = text_or_empty(text_col)
+    lang = F.col(lang_col) if lang_col and lang_col in docs.columns else None
+    rows = docs.withColumn("low_", F.lower(text))
+    rows = rows.withColumns({f"f_{k}": c for k, c in features(text, lang).items()}
+                            | {f"w_{k}": F.contains("low_", F.lit(w)) for k, w in enumerate(model.words)})
     logs = []
     for k in range(len(model.domains)):
         log, own = F.lit(model.bias[k]), model.weights[k]
-        for w, x in zip(model.words, own, strict=False):
-            log = log + F.when(has_word(text, w), F.lit(x)).otherwise(F.lit(0.0))
+        for j, x in enumerate(own[:len(model.words)]):
+            log = log + F.when(F.col(f"w_{j}"), F.lit(x)).otherwise(F.lit(0.0))
         for (name, value), x in zip(model.buckets, own[len(model.words):], strict=False):
-            if name in found:
-                log = log + F.when(found[name] == value, F.lit(x)).otherwise(F.lit(0.0))
+            if f"f_{name}" in rows.columns:
+                log = log + F.when(F.col(f"f_{name}") == value, F.lit(x)).otherwise(F.lit(0.0))
         logs.append(log)
-    return logs
-
-
-def with_classes(docs: DataFrame, model: Classifier, text_col: str, lang_col: str | None, steps: int) -> DataFrame:
-    """``docs`` with ``class_``: the rounded posteriors as array<int>, in domain order."""
-    text = text_or_empty(text_col)
-    logs = posteriors(model, text, F.col(lang_col) if lang_col and lang_col in docs.columns else None)
-    rows = docs.withColumn("logs_", F.array(*logs))
+    rows = rows.select(*docs.columns, F.array(*logs).alias("logs_"))
     rows = rows.withColumn("weights_", F.transform("logs_", lambda x: F.exp(x - F.array_max("logs_"))))
     rows = rows.withColumn("parts_", F.transform("weights_", lambda x: F.floor(x / F.aggregate("weights_", F.lit(0.0), lambda a, y: a + y) * steps).cast("int")))
     spare = F.lit(steps) - F.aggregate("parts_", F.lit(0), lambda a, y: a + y)
@@ -187,8 +185,9 @@ def mix(docs: DataFrame, domains: DataFrame, targets: dict[str, float], anchor:
     own = {x: f"c{names.index(x)}" for x in (id_col, text_col, *([lang_col] if lang_col in names else []))}
     text = text_or_empty(own[text_col])
     marked = with_classes(work, model, own[text_col], own.get(lang_col), steps)
-    classes = stage(marked.select("class_", F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("tokens"))
-                    .groupBy("class_").agg(F.sum("tokens").alias("tokens")), "mixing-classes")
+    # features are computed once: the classes read two narrow columns of this table, the result the rest
+    marked = stage(marked.withColumn("tokens_", F.regexp_count(text, F.lit(r"\S+")).cast("long")), "mixing-documents")
+    classes = stage(marked.groupBy("class_").agg(F.sum("tokens_").alias("tokens")), "mixing-classes")
     n = len(model.domains)
     rates, _ = fit_rates(classes, n, steps, [float(targets.get(d, 0.0)) for d in model.domains], model.domains.index(anchor), ridge, rounds)
     side = F.broadcast(stage(rates, "mixing-rates"))  # as many rows as classes

@@ -1,14 +1,18 @@
-"""Removal of repeated multi-line chunks with content-defined boundaries.
+"""Removal of repeated passages: runs of two lines or more, and long single lines.
 
 A text's lines are hashed; a rolling hash over the hashes of ``window`` lines ends a
-chunk where it is divisible by ``divisor`` (once the chunk has ``min_lines`` lines), so
-boundaries depend on nearby lines only and fall alike in shifted copies. Chunks of
-``min_lines`` or more lines that are not blank and occur in several places are repeats:
-the first (smallest id, then place) stays, every other one is removed, after its bytes have been
-compared with the first one's.
-
-Hashes are grouped in a narrow table of chunks; texts are moved only for two joins on a
-document key (to fetch the first occurrences, and to compare and cut). A chunk in very
+chunk where it is divisible by ``divisor`` (once the chunk has ``min_lines`` lines). As
+such boundaries depend on the line before a passage, every run of ``min_lines``
+successive lines that are not blank (with the blank lines between them) is a chunk as
+well: a repeated passage is a chain of repeated runs, so it goes whole, wherever its
+neighbours make the boundaries fall and however far it reaches. Lines of over
+``line_words`` words are chunks by themselves. Chunks that are not blank and occur in
+several places are repeats: the first (smallest id, then place) stays, every other one is
+removed, after its bytes have been compared with the first one's. The earliest
+occurrence of a line is in no repeat, so no line is lost from all texts.
+
+Hashes are grouped in a narrow table of chunks; texts are moved, compressed, only for two
+joins on a document key (to fetch the first occurrences, and to compare and cut). A chunk in very
 many documents is a hot key of plain joins and of partially aggregated groups only.
 
 A null text stays null and has no chunks; lines are split at line feeds alone, so
@@ -32,31 +36,62 @@ WORD = (1 << 64) - 1
 
 
 def chunk_spans(lines: list[str], window: int = 2, divisor: int = 2, min_lines: int = 2) -> list[tuple[int, int]]:
-    """(first line, number of lines) of the chunks of a text."""
+    """(first line, number of lines) of the chunks of a text: all runs of ``min_lines``
+    successive lines that are not blank, and the rolling hash's chunks that reach
+    further (their first or last line is blank)."""
     import xxhash
 
     hashes = [xxhash.xxh64_intdigest(line.encode()) for line in lines]
     drop = pow(PRIME, window, 1 << 64)
-    spans, start, rolling = [], 0, 0
+    full = [k for k, line in enumerate(lines) if line.strip()]
+    spans = [(a, b + 1 - a) for a, b in zip(full, full[min_lines - 1:], strict=False)]
+    seen, start, rolling = set(full), 0, 0
+
+    def add(stop: int) -> None:
+        if start not in seen or stop - 1 not in seen or stop - start < min_lines:
+            spans.append((start, stop - start))
+
     for i, h in enumerate(hashes):
         rolling = (rolling * PRIME + h - (hashes[i - window] * drop if i >= window else 0)) & WORD
         if i + 1 - start >= min_lines and (rolling >> 20) % divisor == 0:
-            spans.append((start, i + 1 - start))
+            add(i + 1)
             start = i + 1
     if start < len(lines):
-        spans.append((start, len(lines) - start))
+        add(len(lines))
     return spans
 
 
+def packed(text: str | None) -> bytes | None:
+    """A text as its length and Zstandard bytes (less to shuffle than rows of plain text)."""
+    data = text.encode() if text is not None else None
+    return None if data is None else len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes | None) -> str | None:
+    return None if data is None else pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True).decode()
+
+
+def pack_text(rows: DataFrame, text_col: str) -> DataFrame:
+    place = rows.columns.index(text_col)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = pa.array([packed(x) for x in batch.column(place).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([data if k == place else c for k, c in enumerate(batch.columns)], batch.schema.names)
+
+    return rows.mapInArrow(pack, T.StructType([T.StructField(f.name, T.BinaryType()) if f.name == text_col else f for f in rows.schema.fields]))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = 2, divisor: int = 2, min_lines: int = 2) -> DataFrame:
+                   window: int = 2, divisor: int = 2, min_lines: int = 2, line_words: int = 50) -> DataFrame:
     """``docs`` with repeated chunks cut from the text and ``removed_lines`` int."""
     def spans_of(text: str) -> tuple[list[str], list[tuple[int, int]]]:
         lines = text.split("\n")
+        long = [(k, 1) for k, line in enumerate(lines) if len(line) > 2 * line_words and len(line.split()) > line_words]
         if len(lines) < min_lines:
-            return lines, []
-        return lines, [(a, n) for a, n in chunk_spans(lines, window, divisor, min_lines)
-                       if n >= min_lines and any(x.strip() for x in lines[a:a + n])]
+            return lines, long
+        return lines, long + [(a, n) for a, n in chunk_spans(lines, window, divisor, min_lines)
+                              if n >= max(min_lines, 2) and any(x.strip() for x in lines[a:a + n])]
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -78,7 +113,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             at, start, h, body = [], [], [], []
             for k, (text, wanted) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-                lines = text.split("\n")
+                lines = unpacked(text).split("\n")
                 for w in wanted:
                     at.append(k)
                     start.append(w["start"])
@@ -90,8 +125,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, removed = [], []
-            for text, marks in zip(batch.column(place).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
+            for data, marks in zip(batch.column(place).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
                 gone: set[int] = set()
+                text = unpacked(data)
                 if marks:
                     lines = text.split("\n")
                     for m in marks:
@@ -119,10 +155,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.struct(F.col("first.start").alias("start"), F.col("first.n").alias("n"), "hash")).alias("wanted"))
     # one row per repeated chunk (rows that agree in id and text count once); the places
     # then meet it in a single join, whose hot hashes Spark splits
-    bodies = work.select("key", own_text).join(firsts, "key").dropDuplicates(["key"]).select("key", own_text, "wanted").mapInArrow(
+    bodies = pack_text(work.select("key", own_text), own_text).join(firsts, "key").dropDuplicates(["key"]).select("key", own_text, "wanted").mapInArrow(
         fetch, "hash binary, body string, first_key long, first_start int")
     others = once.join(bodies, "hash").filter(~((F.col("key") == F.col("first_key")) & (F.col("start") == F.col("first_start"))))
     marks = others.groupBy("key").agg(F.collect_list(F.struct("start", "n", "body")).alias("marks"))
-    joined = work.join(marks, "key", "left").select(*[f"c{k}" for k in range(len(names))], "marks")
+    joined = pack_text(work, own_text).join(marks, "key", "left").select(*[f"c{k}" for k in range(len(names))], "marks")
     fields = [T.StructField(f.name, T.StringType()) if f.name == text_col else f for f in base.schema.fields]
     return joined.mapInArrow(cut, T.StructType([*fields, T.StructField("removed_lines", T.IntegerType())]))

@@ -158,3 +158,28 @@ def test_chunks_resist_shifts():
     lines = [f"text of line {k}" for k in range(200)]
     a, b = (["\n".join(x[s:s + n]) for s, n in linechunks.chunk_spans(x)] for x in (lines, ["new", "lines", "before"] + lines))
     assert len(set(a) & set(b)) >= 0.9 * len(a)
+
+
+def test_planted_passages_are_caught(spark):
+    """Passages of over 50 words between unlike lines: the first stays, all later ones go whole."""
+    rng = np.random.default_rng(21)
+    say = lambda n: " ".join(f"v{k}" for k in rng.integers(0, 10**9, n))
+    plants, rows = [], []
+    for lines in (1, 2, 3, 4, 7):
+        for gap in ("\n", "\n\n\n\n")[:2 if lines > 1 else 1]:
+            plants += [(lines, gap.join(say(52 // lines + 1) for _ in range(lines))) for _ in range(20)]
+    own = {}
+    for copy in range(3):
+        for k, (_, passage) in enumerate(plants):
+            before, after = [say(6) for _ in range(rng.integers(0, 4))], [say(6) for _ in range(rng.integers(0, 4))]
+            own[1000 * copy + k] = "\n".join([*before, *after])
+            rows.append((1000 * copy + k, "\n".join([*before, passage, *after])))
+    got = {r["doc_id"]: r["text"] for r in linechunks.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, text in rows:
+        assert got[k] == (text if k < 1000 else own[k]), plants[k % 1000][0]
+
+
+def test_short_repeats_of_one_line_stay(spark):
+    rows = [(k, f"unlike {k}\nHeading\n\nother {k}\n{'w ' * 50}\nlast {k}") for k in range(6)]
+    got = linechunks.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), divisor=1 << 30).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == rows

@@ -5,11 +5,13 @@
    of the domains in all labels. Its features are the ``words`` words that tell most about
    the domain, the shares of signs, of capital letters and of words said twice in a
    row, and the language; it is applied as a column expression.
-2. Every document gets posteriors, rounded to multiples of 1 / ``steps``. Documents of
-   equal posteriors form a class, of which there are at most C(steps + D - 1, D - 1)
-   for D domains, whatever the input; their tokens are summed over all documents.
+2. Every document gets posteriors. Documents whose posteriors agree when rounded to
+   multiples of 1 / ``steps`` form a class, of which there are at most
+   C(steps + D - 1, D - 1) for D domains, whatever the input. Rounding decides the class
+   alone: tokens, and tokens times each unrounded posterior, are summed over all documents
+   of a class (posteriors as multiples of 2^-30 in exact sums, so that no order matters).
 3. Projected-gradient least squares fits one rate >= 0 per class, so that the expected
-   tokens of each domain (sum of rate * tokens * posterior) match the targets; a small
+   tokens of each domain (sum of rate * tokens * unrounded posterior) match the targets; a small
    weight ``ridge`` pulls rates to 1 and makes them unique. The sums over documents are distributed (step
    2); the steps fold over the class table in one expression. The total is such that the ``anchor`` domain keeps its tokens.
 4. A document of rate r is repeated floor(r + u) times, u in [0, 1) from a hash of its id
@@ -36,6 +38,7 @@ from parley.llm.common import stage, text_or_empty
 
 SIGNS = r"[#$%&*|!@^~<>{}\[\]=+_]"
 CAPITALS = "[A-Z]"
+UNIT = 1 << 30  # posteriors are summed as multiples of 1 / UNIT
 
 
 @dataclass
@@ -110,8 +113,9 @@ def fit(docs: DataFrame, domains: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def with_classes(docs: DataFrame, model: Classifier, text_col: str, lang_col: str | None, steps: int) -> DataFrame:
-    """``docs`` with ``class_``: the rounded posteriors as array<int>, in domain order.
-    The likeliest domain takes what rounding leaves. Every feature is a column of its
+    """``docs`` with ``class_``: the rounded posteriors as array<int>, in domain order, and
+    ``posteriors_``: array<double>. In the class the likeliest domain takes what rounding
+    leaves. Every feature is a column of its
     own before the sums, so that it is computed once for all domains."""
     text = text_or_empty(text_col)
     lang = F.col(lang_col) if lang_col and lang_col in docs.columns else None
@@ -129,7 +133,8 @@ def with_classes(docs: DataFrame, model: Classifier, text_col: str, lang_col: st
         logs.append(log)
     rows = rows.select(*docs.columns, F.array(*logs).alias("logs_"))
     rows = rows.withColumn("weights_", F.transform("logs_", lambda x: F.exp(x - F.array_max("logs_"))))
-    rows = rows.withColumn("parts_", F.transform("weights_", lambda x: F.floor(x / F.aggregate("weights_", F.lit(0.0), lambda a, y: a + y) * steps).cast("int")))
+    rows = rows.withColumn("posteriors_", F.transform("weights_", lambda x: x / F.aggregate("weights_", F.lit(0.0), lambda a, y: a + y)))
+    rows = rows.withColumn("parts_", F.transform("posteriors_", lambda x: F.floor(x * steps).cast("int")))
     spare = F.lit(steps) - F.aggregate("parts_", F.lit(0), lambda a, y: a + y)
     top = F.array_position("weights_", F.array_max("weights_")).cast("int") - 1
     rows = rows.withColumn("class_", F.transform("parts_", lambda x, k: x + F.when(k == top, spare).otherwise(F.lit(0))))
@@ -137,12 +142,15 @@ def with_classes(docs: DataFrame, model: Classifier, text_col: str, lang_col: st
 
 
 def fit_rates(classes: DataFrame, n: int, steps: int, targets: list[float], anchor: int, ridge: float, rounds: int) -> tuple[DataFrame, list[float]]:
-    """(class_, rate) for ``classes`` (class_ array<int>, tokens), and the targets in
-    tokens. Minimises, relative to all tokens, the squared misses over the targets and
+    """(class_, rate) for ``classes`` (class_ array<int>, tokens, and shares_ array<double>:
+    the mean posteriors of the tokens, class_ / steps if it is missing), and the targets
+    in tokens. Minimises, relative to all tokens, the squared misses over the targets and
     ``ridge`` times the token-weighted squares of rate - 1, by projected gradient steps
     scaled per class by its tokens. The sums over documents lie in ``classes``; the
     steps are one fold of higher-order functions over that bounded table."""
-    row = classes.agg(*[F.sum(F.col("tokens") * F.col("class_")[k] / steps).alias(f"d{k}") for k in range(n)]).first()
+    if "shares_" not in classes.columns:
+        classes = classes.withColumn("shares_", F.transform("class_", lambda x: x / F.lit(float(steps))))
+    row = classes.agg(*[F.sum(F.col("tokens") * F.col("shares_")[k]).alias(f"d{k}") for k in range(n)]).first()
     now = [float(x or 0.0) for x in row]
     share = sum(targets)
     scale = now[anchor] / targets[anchor] * share if targets[anchor] > 0 and now[anchor] > 0 else sum(now)
@@ -156,15 +164,15 @@ def fit_rates(classes: DataFrame, n: int, steps: int, targets: list[float], anch
         return F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
 
     def tokens_of(k: int):
-        return lambda c, r: c["tokens"] * r * c["class_"][k] / steps
+        return lambda c, r: c["tokens"] * r * c["shares_"][k]
 
     def descend(rates: Column, _: Column) -> Column:
         misses = F.array(*[(total(F.zip_with(table, rates, tokens_of(k))) - wanted[k]) / size[k]
                            if k in live else F.lit(0.0) for k in range(n)])
         return let(misses, lambda miss: F.zip_with(table, rates, lambda c, r: F.greatest(F.lit(0.0), r - step * (
-            total(F.zip_with(c["class_"], miss, lambda share, m: share * m / steps)) + ridge * (r - 1)))))
+            total(F.zip_with(c["shares_"], miss, lambda share, m: share * m)) + ridge * (r - 1)))))
 
-    folded = classes.agg(F.collect_list(F.struct("class_", F.col("tokens").cast("double").alias("tokens"))).alias("table")).select(
+    folded = classes.agg(F.collect_list(F.struct("class_", F.col("tokens").cast("double").alias("tokens"), "shares_")).alias("table")).select(
         "table", F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.transform("table", lambda c: F.lit(1.0)), descend).alias("rates"))
     return folded.select(F.explode(F.zip_with(table, F.col("rates"), lambda c, r: F.struct(c["class_"].alias("class_"), r.alias("rate")))).alias("x")).select("x.*"), wanted
 
@@ -185,10 +193,13 @@ def mix(docs: DataFrame, domains: DataFrame, targets: dict[str, float], anchor:
     own = {x: f"c{names.index(x)}" for x in (id_col, text_col, *([lang_col] if lang_col in names else []))}
     text = text_or_empty(own[text_col])
     marked = with_classes(work, model, own[text_col], own.get(lang_col), steps)
-    # features are computed once: the classes read two narrow columns of this table, the result the rest
+    # features are computed once: the classes read narrow columns of this table, the result the rest
     marked = stage(marked.withColumn("tokens_", F.regexp_count(text, F.lit(r"\S+")).cast("long")), "mixing-documents")
-    classes = stage(marked.groupBy("class_").agg(F.sum("tokens_").alias("tokens")), "mixing-classes")
     n = len(model.domains)
+    masses = [F.sum((F.col("tokens_") * F.round(F.col("posteriors_")[k] * UNIT).cast("long")).cast("decimal(20,0)")) for k in range(n)]
+    classes = marked.groupBy("class_").agg(F.sum("tokens_").alias("tokens"), *[x.alias(f"m{k}") for k, x in enumerate(masses)])
+    shares = [F.coalesce(F.try_divide(F.col(f"m{k}").cast("double"), F.col("tokens") * F.lit(float(UNIT))), F.lit(0.0)) for k in range(n)]
+    classes = stage(classes.select("class_", "tokens", F.array(*shares).alias("shares_")), "mixing-classes")
     rates, _ = fit_rates(classes, n, steps, [float(targets.get(d, 0.0)) for d in model.domains], model.domains.index(anchor), ridge, rounds)
     side = F.broadcast(stage(rates, "mixing-rates"))  # as many rows as classes
     u = F.pmod(F.xxhash64(own[id_col], own[text_col]), F.lit(1 << 24)) / float(1 << 24)

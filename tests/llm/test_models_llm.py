@@ -186,6 +186,29 @@ def test_rates_are_the_least_squares(spark):
     assert (mine >= 0).all() and cost(mine) <= cost(r) * 1.02 + 1e-6
 
 
+def test_mixing_meets_targets_by_unrounded_posteriors(spark):
+    """Words shared by the domains: most documents have small posteriors of other domains."""
+    rng = np.random.default_rng(14)
+    words = ["river", "stone", "cloud", "grass", "brick", "plant"]
+    weights = {"clean": [8, 6, 5, 4, 3, 2], "toxic": [4, 4, 4, 5, 5, 5], "junk": [2, 3, 4, 5, 6, 8]}
+    rows, truth = [], {}
+    for k in range(1500):
+        truth[k] = str(rng.choice(["clean", "toxic", "junk"], p=[0.8, 0.12, 0.08]))
+        p = np.array(weights[truth[k]], float) * 0.07
+        rows.append((k, " ".join(["a", "of", *[w for w, x in zip(words, p) if rng.random() < x]] * int(rng.integers(1, 9))), "en"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    domains = spark.createDataFrame(list(truth.items()), "doc_id long, domain string")
+    targets = {"clean": 0.93, "toxic": 0.05, "junk": 0.02}
+    model = mixing.fit(docs, domains)
+    own = {r["doc_id"]: list(r["posteriors_"]) for r in mixing.with_classes(docs, model, "text", "lang", 16).collect()}
+    got = {r["doc_id"]: r["rate"] for r in mixing.mix(docs, domains, targets, "clean", rounds=3000).collect()}
+    mass = sum(np.array(own[k]) * len(t.split()) * got[k] for k, t, _ in rows)
+    share = dict(zip(model.domains, mass / mass.sum()))
+    before = sum(np.array(own[k]) * len(t.split()) for k, t, _ in rows)
+    print(share, dict(zip(model.domains, before / before.sum())))
+    assert all(share[d] == pytest.approx(x, abs=0.003) for d, x in targets.items())
+
+
 def test_licenses(spark):
     texts = ["Licensed under the Apache License, Version 2.0. Then more.", "x. RELEASED under the MIT  License", None, "", "mit license",
              "Licensed under CC BY-NC 4.0.\nReleased under the MIT License.", "This work is licensed under the GNU General Public License, version 3.",

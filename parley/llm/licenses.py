@@ -1,8 +1,10 @@
 """License scans by sentence rules, in DataFrame functions only.
 
-Texts are cut into sentences at line ends and after ., !, ? or ; before white space; a
-sentence is normalised (lower case, runs of other signs than letters and digits as one
-space, trimmed) and mapped to the identifier of a known licence sentence. A document's
+Texts are cut into pieces at line ends and after ., !, ? or ; before white space (but not
+in "v. 2"); a piece is normalised (lower case, runs of other signs than letters and digits
+as one space, trimmed). A piece, or several that only single line ends part (hard-wrapped
+text, comment signs before its lines included), is mapped to the identifier of the known
+licence sentence that it equals; the longest counts. A document's
 identifiers, in order, are matched against ordered rules: a rule holds where its
 identifiers follow each other, with unknown sentences between them ignored. Per licence
 the first rule that holds counts. Documents without any cue that each known sentence
@@ -70,6 +72,8 @@ RULES = [
 ]
 
 CUT, BREAK, SIGNS = r"([.!?;])[ \t\r\n]+", "\n", r"[^a-z0-9]+"
+#: Ends of sentences that a line end cannot bridge; ``END`` stands for them in lower-case text.
+END, ENDS = "E", r"(?!(?<=\bv)\.[ \t\r\n]+[^a-z0-9\n]*[0-9])[.!?;][ \t\r\n]+"
 
 
 def cues(sentences: dict[str, str]) -> list[str]:
@@ -84,12 +88,15 @@ def cues(sentences: dict[str, str]) -> list[str]:
 
 def sentence_ids(text: Column, sentences: dict[str, str]) -> Column:
     """Identifiers of the known sentences of a text, in order, as array<string>."""
-    pieces = F.split(F.regexp_replace(F.lower(text), CUT, "$1\n"), BREAK)
-    normal = F.transform(pieces, lambda s: F.trim(F.regexp_replace(s, SIGNS, " ")))
+    ended = F.regexp_replace(F.lower(text), ENDS, END)
+    plain = F.regexp_replace(F.regexp_replace(ended, f"[^a-z0-9\n{END}]+", " "), f" ?([\n{END}]) ?", "$1")
+    # a blank line ends a sentence too
+    marked = F.concat(F.lit(END), F.regexp_replace(F.trim(plain), "\n\n+", END), F.lit(END))
+    longest = sorted(sentences.values(), key=lambda s: (-len(s), s))
+    either = "|".join("[ \n]".join(rf"\Q{w}\E" for w in s.split(" ")) for s in longest)
+    found = F.regexp_extract_all(marked, F.lit(f"(?<=[\n{END}])(?:{either})(?=[\n{END}])"), F.lit(0))
     known = F.create_map(*[F.lit(x) for k, s in sentences.items() for x in (s, k)])
-    lengths = sorted({len(s) for s in sentences.values()})
-    some = F.filter(normal, lambda s: F.length(s).isin(lengths))
-    return F.filter(F.transform(some, lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
+    return F.transform(found, lambda s: F.try_element_at(known, F.translate(s, "\n", " ")))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -116,7 +123,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def oracle_sql() -> str:
-    """The same scan in DuckDB SQL."""
+    """The scan in DuckDB SQL, for texts whose licence sentences lie on one line each (as in
+    the given tables): it knows neither wrapped sentences nor "v. 2"."""
     known = ", ".join(f"('{s}', '{k}')" for k, s in SENTENCES.items())
     cases = []
     for lic in dict.fromkeys(x[1] for x in RULES):

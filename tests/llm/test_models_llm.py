@@ -3,6 +3,7 @@
 import html
 import math
 import re
+import textwrap
 
 import duckdb
 import numpy as np
@@ -227,3 +228,51 @@ def test_licenses(spark):
     assert rows(got.astype({"doc_id": float})) == rows(want.astype({"doc_id": float}))
     assert all(any(c in s for c in licenses.cues(licenses.SENTENCES)) for s in licenses.SENTENCES.values())
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+WRAPPED = {
+    "mit-full": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.""",
+    "mit-mention": "This tool is great. Released under the MIT License.",
+    "mit-mention-2": "Licensed under the MIT License.",
+    "apache-2-full": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0""",
+    "apache-2-mention": "Licensed under the Apache License, Version 2.0.",
+    "apache-2-mention-2": 'Licensed under the Apache License, Version 2.0 (the "License").',
+    "gpl-3-full": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "gpl-3-mention": "This work is licensed under the GNU General Public License, version 3.",
+    "gpl-3-mention-2": "This program is licensed under the GNU General Public License, version 3.",
+    "bsd-full": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.""",
+    "mpl-2-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "cc-by-mention": "Licensed under CC BY 4.0.",
+    "cc-by-work": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by-sa-mention": "Licensed under CC BY-SA 4.0.",
+    "cc-by-nc-mention": "Licensed under CC BY-NC 4.0.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+}
+for _rule in ("mit", "gpl-3", "bsd"):
+    WRAPPED[{"bsd": "bsd-mention"}.get(_rule, _rule + "-grant")] = WRAPPED[_rule + "-full"].split("\n\n")[0]
+
+
+@pytest.mark.parametrize("width", [12, 40, 72, 10_000])
+def test_licenses_in_wrapped_text(spark, width):
+    assert set(WRAPPED) == {r for r, _, _ in licenses.RULES}
+    texts = {}
+    for rule, text in WRAPPED.items():
+        for sign in ("", " * ", "# "):
+            for end in ("\n", "\r\n"):
+                lines = [x for part in text.split("\n\n") for x in [*textwrap.wrap(part, width, break_long_words=False, break_on_hyphens=False), ""]]
+                texts[rule, sign, end] = end.join(f"{sign}{x}" for x in ["Copyright 2020 Somebody", "", *lines, "more words"])
+    docs = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    got = {r["doc_id"]: r["rules"] for r in licenses.scan(docs).collect()}
+    assert [(k, got[n]) for n, k in enumerate(texts) if got[n] != k[0]] == []
+    apart = spark.createDataFrame([(0, "Released under\n\nthe MIT License."), (1, "Released under. the MIT License."), (2, "not released\nunder the MIT License")], "doc_id long, text string")
+    assert {r["rules"] for r in licenses.scan(apart).collect()} == {""}

@@ -161,6 +161,14 @@ def q_rank_correlation(spark, d):
     return M.spearman(li, "l_quantity", "l_extendedprice", "id").select("n", F.round("rho", 6).alias("rho"))
 
 
+@query("rank_correlation_p", sql=None)
+def q_rank_correlation_p(spark, d):
+    """Spearman rho of every lineitem with its two-sided p-value (no SQL function gives it)."""
+    li = table(spark, d, "lineitem").select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
+                                            "l_quantity", "l_extendedprice")
+    return M.with_p_value(M.spearman(li, "l_quantity", "l_extendedprice", "id").select("n", "rho"))
+
+
 def _summary_sql(name, src_sql):
     chain = COUNTS_SQL.replace("cc AS", f"{name}_cc AS").replace("FROM cc", f"FROM {name}_cc") \
                       .replace("prf AS", f"{name}_prf AS").replace("FROM prf)", f"FROM {name}_prf)") \

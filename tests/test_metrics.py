@@ -70,3 +70,13 @@ def test_confusion_has_no_label_limit(spark):
     df = spark.range(20_000).selectExpr("cast(id as string) AS y", "cast((id + id % 2) % 20000 as string) AS p")
     got = M.confusion(df, "y", "p")
     assert got.count() == 20_000 and got.filter("true_label = pred_label").count() == 10_000
+
+
+def test_rank_correlation_query_has_its_p_value(spark):
+    from parley.plans.registry import load_all
+    sf = "/root/testdata/sf0.001"
+    r = load_all()["rank_correlation_p"].build(spark, sf).first()
+    plain = load_all()["rank_correlation"].build(spark, sf).first()
+    assert (r["n"], round(r["rho"], 6)) == (plain["n"], plain["rho"])
+    assert r["p_value"] == M.spearman_p_value(r["rho"], r["n"])
+    assert 0.0 <= r["p_value"] <= 1.0

@@ -53,3 +53,14 @@ def hot_threshold(freq: DataFrame, count_col: str, most: int) -> int:
             break
         least = r["least"]
     return least
+
+
+def bounded_sample(rows: DataFrame, mark: Column, most: int, total: int | None = None) -> DataFrame:
+    """At most ``most`` rows, those of the least ``mark`` (a 64-bit hash of the row). Only the part
+    of the hash's range that holds about so many rows is sorted, so that the tasks together
+    send little more than ``most`` rows, however many they are."""
+    total = rows.count() if total is None else total
+    if total > most:
+        part = min(1.0, most / total * 1.25 + 16 / total)
+        rows = rows.filter(mark <= int(-2**63 + part * (2**64 - 2**11)))
+    return rows.orderBy(mark).limit(most)

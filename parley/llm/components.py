@@ -7,22 +7,27 @@ from pyspark.sql import functions as F
 
 from parley.llm.common import stage
 
+#: Nodes with more than this part of all edges are hubs: at most so many exist, and
+#: their smallest neighbours are broadcast.
+HUBS = 4096
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, component) for every end of ``edges`` (a, b long): the smallest id that it
-    reaches. Each round hangs all larger neighbours, then all smaller ones, under the
-    smallest neighbour (large star, small star); the smallest is found by partial
-    aggregation and joined back, so a node with very many neighbours is never gathered
-    in one task. Rounds grow with the logarithm of the longest path. Loops are allowed."""
+    """(id, component) for every end of ``edges`` (a, b of one ordered type): the smallest
+    id that it reaches. Each round hangs all larger neighbours, then all smaller ones,
+    under the smallest neighbour (large star, small star); the smallest is found by partial
+    aggregation and joined back. A hub's edges stay in the tasks that hold them: the at most
+    ``HUBS`` nodes that may have many are joined by a broadcast of one row each. Rounds grow
+    with the logarithm of the longest path. Loops are allowed; no edges, no rows."""
     loops = edges.select(F.least("a", "b").alias("id"))
     pairs = edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     pairs, before = stage(pairs, "edges"), None
     while True:
-        large = _star(pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))), larger=True)
+        large = stage(_star(pairs.unionAll(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))), larger=True), "stars-large")
         pairs = stage(_star(large, larger=False), "stars")
         # each node hangs under one root when nothing changes: same edges, same sum
         now = tuple(pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
-        if now == before:
+        if now == before or now[0] == 0:
             break
         before = now
     found = pairs.select(F.col("u").alias("id"), F.col("v").alias("component"))
@@ -31,10 +36,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def _star(pairs: DataFrame, larger: bool) -> DataFrame:
-    """(u > v) edges from neighbours (u, v): larger: every neighbour of u above u goes
+    """(u > v) edges from staged neighbours (u, v): larger: every neighbour of u above u goes
     under the smallest of u and its neighbours; else u and its smaller neighbours do."""
-    low = pairs.groupBy(F.col("u").alias("k")).agg(F.least(F.min("v"), F.col("k")).alias("m"))
-    joined = pairs.join(low, F.col("u") == F.col("k"))
+    low = pairs.groupBy(F.col("u").alias("k")).agg(F.least(F.min("v"), F.col("k")).alias("m"), F.count(F.lit(1)).alias("degree"))
+    many = pairs.count() // HUBS + 1  # fewer than HUBS nodes have so many edges
+    marked = pairs.join(F.broadcast(low.filter(F.col("degree") >= many).select("k", "m")), F.col("u") == F.col("k"), "left")
+    rest = marked.filter("k IS NULL").select("u", "v").join(low.filter(F.col("degree") < many).select("k", "m"), F.col("u") == F.col("k"))
+    joined = marked.filter("k IS NOT NULL").select("u", "v", "m").unionAll(rest.select("u", "v", "m"))
     if larger:
         out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

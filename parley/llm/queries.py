@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, capdedup, htmlmain, licenses, linechunks, mixing, quality, simhash, tokens, topk
+from parley.llm import bpe, capdedup, htmlmain, licenses, linechunks, merkle, mixing, negatives, quality, simhash, tokens, topk, urlrules
 from parley.llm.common import table
 from parley.plans.registry import query
 
@@ -115,3 +115,50 @@ def encoded_digests(docs: DataFrame, ids: bool = False) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and their decoding, as digests."""
     return encoded_digests(table(spark, sf_dir, "documents"))
+
+
+#: (verdict, host, path); a rule holds for the host and all its subdomains.
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@query("op11_url_rules", urlrules.oracle_sql(URL_RULES))
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page's URL, its aliases' blocks included."""
+    out = urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url", "html"), URL_RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op12_merkle", merkle.oracle_sql())
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether a (partly tampered) copy verifies."""
+    docs = table(spark, sf_dir, "documents")
+    low = F.translate("text", urlrules.UPPER, urlrules.LOWER)
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, merkle.row_hash([*map(F.col, fields), low]))
+    out = merkle.manifest(docs, "source", "doc_id", merkle.row_hash([*map(F.col, fields), F.col("text")]), {"tampered": tampered})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return (out.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"), folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
+NEGATIVES_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     a AS (SELECT DISTINCT vec_id, label, x FROM v WHERE vec_id % 50 = 0),
+     s AS (SELECT a.vec_id AS anchor_id, a.x, v.vec_id, a.label = v.label AS same, list_dot_product(a.x, v.x)::BIGINT AS score
+           FROM a JOIN v ON a.vec_id <> v.vec_id AND len(a.x) = len(v.x)),
+     p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id, x ORDER BY score DESC, vec_id) AS place FROM s WHERE same),
+     n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                  row_number() OVER (PARTITION BY p.anchor_id, p.x, p.place ORDER BY s.score DESC, s.vec_id)::INT AS rank
+           FROM p JOIN s ON p.anchor_id = s.anchor_id AND p.x = s.x AND NOT s.same AND p.place <= 5
+             AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+
+@query("op13_hard_negatives", NEGATIVES_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 3 rows of other labels in the score window of each of the 5 best rows of an anchor's label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)

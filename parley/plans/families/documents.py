@@ -160,7 +160,7 @@ def q_doc_rollup(spark, d):
 
 @query("taxonomy_lookup", sql=f"""
 WITH u AS ({USER_TURNS_SQL}), p AS (SELECT conv_id, turn, {S.first_match('message', R.HEURISTIC_RULES, R.OTHER)} AS intent FROM u),
-t AS (SELECT * FROM (VALUES {", ".join(f"({S.q(i)}, {S.q(r)}, {S.q(a)})" for i, _, r, a, _ in R.TAXONOMY)}) AS t(intent, risk_level, default_action))
+t AS (SELECT * FROM (VALUES {", ".join(f"({S.q(i)}, {S.q(r)}, {S.q(a)})" for i, r, a in R.TAXONOMY)}) AS t(intent, risk_level, default_action))
 SELECT p.conv_id, p.turn, p.intent, coalesce(t.risk_level, 'medium') AS risk_level,
        coalesce(t.default_action, 'escalate') AS default_action FROM p LEFT JOIN t ON p.intent = t.intent""")
 def q_taxonomy_lookup(spark, d):

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.functions import text as tx
+from parley.operators import classify as C
+from parley.operators import external as X
 from parley.operators import features as FT
 from parley.operators import metrics as M
 from parley.operators import pairs as P
@@ -36,6 +38,7 @@ class ScoringConfig:
     spec: FT.TfidfSpec = RETRIEVAL_SPEC
     policy: R.EscalationPolicy = R.EscalationPolicy()
     heuristic_rules: tuple = tuple(R.HEURISTIC_RULES)
+    labels: tuple = tuple(R.INTENTS)
 
 
 def split_cases(pairs: DataFrame, ratio: float = 0.80) -> DataFrame:
@@ -74,17 +77,28 @@ def retrieve(messages: DataFrame, kb: DataFrame, index, cfg: ScoringConfig = Sco
                .agg(F.array_sort(F.collect_list(ev)).alias("evidence")))
 
 
-def score(messages: DataFrame, kb: DataFrame, index=None, cfg: ScoringConfig = ScoringConfig(),
-          model_pred=None) -> DataFrame:
+def classifier_input(messages: DataFrame) -> DataFrame:
+    """(msg_id, message, clean_message, cls_text): the classifier cleans its input again
+    (not idempotent: kept as the reference does it)."""
+    m = messages.select("msg_id", "message", tx.clean_customer(F.col("message")).alias("clean_message"))
+    return m.withColumn("cls_text", tx.clean_customer(F.col("clean_message")))
+
+
+def score(messages: DataFrame, kb: DataFrame, index=None, cfg: ScoringConfig = ScoringConfig(), model: C.LinearModel | None = None,
+          predictions: DataFrame | None = None, answers: DataFrame | None = None, drafts: DataFrame | None = None) -> DataFrame:
     """Score every message: messages(msg_id, message) -> one row per message with
-    intent, evidence, reply, decision, reason, risk level and evidence strength."""
+    intent, evidence, reply, decision, reason, risk level and evidence strength.
+
+    Intents come from the cascade of ``classify.resolve``: ``model`` predicts every message
+    (or ``predictions`` (id, intent, confidence, source) are given, for some or all), weak
+    predictions ask the external ``answers`` (id, raw), and messages without a prediction
+    follow the keyword rules. ``drafts`` (id, raw): external replies, merged the same way."""
     index = index or build_index(kb, cfg.spec)
-    m = messages.select("msg_id", "message", tx.clean_customer(F.col("message")).alias("clean_message"))
-    # the classifier cleans its input again (not idempotent: kept as the reference does it)
-    m = m.withColumn("cls_text", tx.clean_customer(F.col("clean_message")))
+    m = classifier_input(messages)
+    if model is not None:
+        predictions = C.predict(model, m, "msg_id", "cls_text")
     # regex form of the keyword rules: the cleaned text is an inlined expression here
-    m = m.withColumn("pred", R.gated_prediction(F.col("cls_text"), model_pred, rules=list(cfg.heuristic_rules),
-                                                regex=True))
+    m = C.resolve(m, "msg_id", "cls_text", predictions, answers, cfg.labels, list(cfg.heuristic_rules), regex=True)
     m = m.withColumn("pred_intent", F.col("pred.intent"))
     ev = retrieve(m, kb, index, cfg)
     s = m.join(ev, "msg_id", "left").withColumn(
@@ -93,6 +107,10 @@ def score(messages: DataFrame, kb: DataFrame, index=None, cfg: ScoringConfig = S
     strength = F.coalesce(F.get("evidence", F.lit(0))["similarity"], F.lit(0.0))
     s = s.withColumn("evidence_strength", strength)
     s = s.withColumn("draft", RS.draft_reply("evidence"))
+    if drafts is not None:
+        kept = s.columns
+        local = X.merge_answers(s.select(*[c for c in kept if c != "draft"], "draft.*"), drafts.withColumnRenamed("id", "msg_id"), "reply", "msg_id")
+        s = local.withColumn("draft", F.struct("reply", "grounding_summary", "confidence", "mode")).select(*kept)
     s = s.withColumn("trigger", R.escalation_trigger(F.col("message"), F.col("pred.intent"), F.col("pred.confidence"),
                                                      F.col("evidence_strength"), cfg.policy))
     s = s.withColumn("esc", R.escalation_from_trigger("trigger", F.col("pred.intent"), F.col("pred.confidence"),
@@ -108,11 +126,28 @@ def score(messages: DataFrame, kb: DataFrame, index=None, cfg: ScoringConfig = S
         F.col("esc.risk_level").alias("risk_level"), "trigger")
 
 
-def judge_scored(scored: DataFrame) -> DataFrame:
-    """R8 over scored rows (the judge reads the raw message, as the reference does)."""
+def judge_scored(scored: DataFrame, answers: DataFrame | None = None) -> DataFrame:
+    """R8 over scored rows (the judge reads the raw message, as the reference does);
+    ``answers`` (id, raw) of an external judge stand in for the rubric where they are valid."""
     with_sets = RS.judge_inputs(scored, "message", "reply", "evidence")
-    return with_sets.withColumn("judge", RS.judge_from_sets("reply")).drop("__reply_words", "__cust_words",
-                                                                          "__ev_words")
+    judged = with_sets.withColumn("judge", RS.judge_from_sets("reply")).drop("__reply_words", "__cust_words",
+                                                                            "__ev_words")
+    if answers is None:
+        return judged
+    own = judged.select("msg_id", "judge.*")
+    merged = X.merge_answers(own, answers.withColumnRenamed("id", "msg_id"), "judge", "msg_id")
+    return judged.drop("judge").join(merged.select("msg_id", F.struct(*own.columns[1:]).alias("judge")), "msg_id")
+
+
+def evaluation_log(judged: DataFrame, truth: DataFrame) -> DataFrame:
+    """A row per evaluated message: truth(msg_id, intent, expected_decision, difficulty)
+    beside what was predicted, drafted and judged (the judgement as a nested record)."""
+    t = truth.select(F.col("msg_id").alias("id"), F.col("intent").alias("true_intent"), F.col("expected_decision").alias("true_decision"),
+                     F.coalesce("difficulty", F.lit("normal")).alias("difficulty"))
+    j = judged.select(F.col("msg_id").alias("id"), F.col("message").alias("text"), F.col("intent").alias("pred_intent"),
+                      F.col("decision").alias("pred_decision"), "evidence_strength", "reply", "judge")
+    return j.join(t, "id").select("id", "text", "difficulty", "true_intent", "pred_intent", "true_decision", "pred_decision",
+                                  "evidence_strength", "reply", "judge")
 
 
 def evaluate(judged: DataFrame, truth: DataFrame, first: int | None = None) -> dict[str, DataFrame]:

@@ -37,6 +37,30 @@ def test_merge_asks_only_below_the_gate(spark):
                    3: ("b", 0.75, "llm_fallback"), 4: ("b", 0.6, "llm_fallback")}
 
 
+def test_merge_replies_and_judgements(spark):
+    local = spark.createDataFrame([(k, "own", "sum", 0.5, m) for k, m in enumerate(["extractive_grounding"] * 5 + ["escalation_deflection"])],
+                                  "id long, reply string, grounding_summary string, confidence double, mode string")
+    raw = spark.createDataFrame([(0, '```json\n{"reply": "@x  hi  there", "confidence": 0.876}\n```'), (1, '"text"'), (2, '{"confidence": "no"}'), (3, '{"reply": "a", "grounding_summary": "b"}'),
+                                 (5, '{"reply": "not asked"}')], "id long, raw string")
+    got = {r["id"]: tuple(r)[1:] for r in X.merge_answers(local, raw, "reply").collect()}
+    own = ("own", "sum", 0.5, "extractive_grounding")
+    assert got == {0: ("hi there", X.DEFAULT_GROUNDING, 0.88, "llm_synthesis"), 1: own, 2: own, 3: ("a", "b", 0.85, "llm_synthesis"), 4: own,
+                   5: ("own", "sum", 0.5, "escalation_deflection")}
+    mine = spark.createDataFrame([(k, 5, 5, 5, 5, 5, 5, "why", e) for k, e in enumerate(["rubric", "rubric", "hard_failure"])], "id long, " + ", ".join(f"{c} int" for c in X.RUBRIC) + ", reason string, evaluator string")
+    raw = spark.createDataFrame([(0, '{"relevance": 1, "overall": 2, "reason": "weak"}'), (1, "5"), (2, '{"relevance": 1}')], "id long, raw string")
+    got = {r["id"]: tuple(r)[1:] for r in X.merge_answers(mine, raw, "judge", evaluator="judge x").collect()}
+    assert got == {0: (1, None, None, None, None, 2, "weak", "judge x"), 1: (5, 5, 5, 5, 5, 5, "why", "rubric"), 2: (5, 5, 5, 5, 5, 5, "why", "hard_failure")}
+
+
+def test_judge_reason(spark):
+    cases = [("we can restart the app for you today", [("c1", 0.9, "q", "restart the app")]), ("restart the app please and wait for us", []), ("  ", [])]
+    df = spark.createDataFrame(cases, "reply string, evidence array<struct<case_id:string,similarity:double,customer:string,agent:string>>")
+    got = [r["j"] for r in df.select(RS.judge(F.lit("my app"), "reply", "evidence").alias("j")).collect()]
+    assert got[0]["reason"] == "Automated audit: Grounding ratio 0.38, safety check passed, style score 5/5."
+    assert got[1]["reason"] == "Automated audit: Grounding ratio 0.00, safety check passed, style score 5/5."
+    assert (got[2]["reason"], got[2]["evaluator"]) == ("Drafted reply is empty.", "hard_failure")
+
+
 @pytest.mark.parametrize("folder", [False, True])
 def test_hourly_stream_equals_batch(spark, tmp_path, folder):
     ev = table(spark, SF, "events")

@@ -21,6 +21,7 @@ import base64
 import zlib
 from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from parley.llm import pretoken
 from parley.llm.common import hot_threshold, stage, strings, text_or_empty
 
 RARE_WORDS = 100_000
+LONG_WORD = 200  # bytes; longer words are folded by a heap
 WIDTH = 3
 ENTRY = 3 * WIDTH
 HALVES = (140_009, 140_057)  # together over twice the pairs of a 50k vocabulary
@@ -129,6 +131,8 @@ def encode_word(word: Column, pieces: list[bytes], ranks: Column) -> Column:
 def fold_word(word: bytes, byte_id: list[int], ranks: dict[int, int]) -> bytes:
     """The same fold in Python, for words that are not in the table: ids as unsigned
     32-bit integers, low byte first."""
+    if len(word) > LONG_WORD:
+        return fold_long(word, byte_id, ranks)
     ids = [byte_id[b] for b in word]
     never, rank = 1 << 40, ranks.get
     row = [rank(a << 24 | b, never) for a, b in zip(ids, ids[1:], strict=False)]
@@ -146,6 +150,30 @@ def fold_word(word: bytes, byte_id: list[int], ranks: dict[int, int]) -> bytes:
     return array("I", ids).tobytes()
 
 
+def fold_long(word: bytes, byte_id: list[int], ranks: dict[int, int]) -> bytes:
+    """``fold_word`` with a heap of (rank, place) over a linked list: n log n steps for n bytes."""
+    ids, n = [byte_id[b] for b in word], len(word)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    rank = ranks.get
+    heap = [(r, k) for k in range(n - 1) if (r := rank(ids[k] << 24 | ids[k + 1])) is not None]
+    heapify(heap)
+    while heap:
+        r, k = heappop(heap)
+        right = after[k]
+        # the pair is stale if one of its ends has been merged since
+        if ids[k] < 0 or right >= n or rank(ids[k] << 24 | ids[right]) != r:
+            continue
+        ids[k], ids[right] = r, -1
+        after[k] = nxt = after[right]
+        if nxt < n:
+            before[nxt] = k
+            if (new := rank(r << 24 | ids[nxt])) is not None:
+                heappush(heap, (new, k))
+        if (prev := before[k]) >= 0 and (new := rank(ids[prev] << 24 | r)) is not None:
+            heappush(heap, (new, prev))
+    return array("I", [x for x in ids if x >= 0]).tobytes()
+
+
 def _widened(ids: bytes) -> bytes:
     """Ids of WIDTH bytes, high byte first, as unsigned 32-bit integers, low byte first."""
     return array("I", [int.from_bytes(ids[k:k + WIDTH], "big") for k in range(0, len(ids), WIDTH)]).tobytes()

@@ -10,7 +10,9 @@ boilerplate, by one pass up and one down the tree: no contradictory choices rema
 
 The trees learn from layouts with known main text: ``layouts`` generated pages whose
 texts are drawn from the paragraphs of at most ``sample`` pages of the table (least hash
-of their key). Scripts, styles, templates, the head and form controls never give text.
+of their key). Scripts, styles, templates, the head and form controls never give text; a head
+or control that was left open ends at the first tag (of a head: or text) that it cannot
+hold. Text in noscript, svg, object and math is left to the trees.
 
 Output text: character references decoded, a run of white space is one space, blocks
 joined by one space in page order. Null or empty html gives the empty string. Whole
@@ -29,12 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import strings
+from parley.llm.common import bounded_sample, strings
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style template noscript head title textarea select option button svg iframe object math datalist".split())
+SILENT = frozenset("script style template head title textarea select option button iframe datalist".split())
+#: What may stand in a head; any other tag, and any text, ends a head that is open.
+IN_HEAD = frozenset("html head base link meta title script style template noscript".split())
+CONTROLS = frozenset("button select option textarea datalist iframe".split())
 BLOCK = frozenset("address article aside blockquote body br center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                   "header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption label option".split())
+ENDS_CONTROL = BLOCK - {"br", "hr", "label", "legend", "option"}
 ENDS_P = BLOCK - {"br", "body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "label", "legend", "option"}
 SIBLING_ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
                 "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
@@ -71,7 +77,7 @@ class Tree(HTMLParser):
         self.tag, self.parent, self.end, self.depth = ["#"], [-1], [0], [0]
         self.groups, self.place, self.children = [0], [0], [0]
         self.over_tags, self.over_groups = [0], [0]
-        self.stack, self.silent = [0], 0
+        self.stack, self.silent, self.open_head = [0], 0, False
         self.parts: list[tuple[int, str]] = []  # (element, text); (-1, "") between blocks
         self.seen: dict[str, int] = {}
 
@@ -80,6 +86,8 @@ class Tree(HTMLParser):
             self.end[node] = len(self.tag)
             if self.tag[node] in SILENT:
                 self.silent -= 1
+            if self.tag[node] == "head":
+                self.open_head = False
             if self.tag[node] in BLOCK:
                 self.parts.append((-1, ""))
         del self.stack[to:]
@@ -98,8 +106,10 @@ class Tree(HTMLParser):
             self._close(("p",), ("table", "td", "li", "div", "article", "section", "body", "button"))
         if tag in SIBLING_ENDS:
             self._close(*SIBLING_ENDS[tag])
-        if tag == "body":
-            self._close(("head",))
+        if tag not in IN_HEAD and self.open_head:
+            self._end_head()
+        if self.silent and tag in ENDS_CONTROL and self.tag[self.stack[-1]] in CONTROLS:
+            self._end_controls()
         up = self.stack[-1]
         bits = 0
         for name, value in attrs:
@@ -123,6 +133,20 @@ class Tree(HTMLParser):
         if tag not in VOID:
             self.stack.append(node)
             self.silent += tag in SILENT
+            self.open_head = self.open_head or tag == "head"
+
+    def _end_head(self) -> None:
+        """A head ends where something stands that it cannot hold, templates apart."""
+        names = [self.tag[k] for k in self.stack]
+        if "template" not in names[names.index("head"):]:
+            self._close(("head",))
+
+    def _end_controls(self) -> None:
+        """A block cannot stand in a form control: one that was left open ends here."""
+        k = len(self.stack) - 1
+        while self.tag[self.stack[k - 1]] in CONTROLS:
+            k -= 1
+        self._pop(k)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -134,6 +158,8 @@ class Tree(HTMLParser):
             self._close((tag,))
 
     def handle_data(self, data):
+        if self.open_head and self.tag[self.stack[-1]] in ("head", "noscript") and data.strip():
+            self._end_head()
         if not self.silent:
             self.parts.append((self.stack[-1], data))
 
@@ -429,9 +455,9 @@ def train(paragraphs: list[str], layouts: int, seed: int = 11) -> Boosted:
 
 def sample_paragraphs(pages: DataFrame, id_col: str, html_col: str, sample: int) -> list[str]:
     """Block texts of a bounded sample of pages (at most ``sample``, of at most 100,000
-    characters each); they fill the layouts."""
-    rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html")).filter("length(html) BETWEEN 1 AND 100000").orderBy(
-        F.xxhash64("id", "html"), "id").limit(sample).collect()
+    characters each; a text is cut after 1,200); they fill the layouts."""
+    short = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html")).filter("length(html) BETWEEN 1 AND 100000")
+    rows = bounded_sample(short, F.xxhash64("id", "html"), sample).collect()
     out = []
     for r in rows:
         tree, block = parse(r["html"]), []
@@ -449,17 +475,19 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", k
             sample: int = 100, layouts: int = 700) -> DataFrame:
     """(id_col, *keep, text string, n_chars long) for every row of ``pages``."""
     model = train(sample_paragraphs(pages, id_col, html_col, sample), layouts)
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+    # plain values: a broadcast is pickled by reference, and executors may lack this package
+    shared = pages.sparkSession.sparkContext.broadcast((model.cuts, model.feature, model.cut, model.leaf))
     kept = [id_col, *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Boosted(*shared.value)
         for batch in batches:
             texts: list[str] = []
             htmls = strings(batch.column(len(kept)))
             for k in range(0, len(htmls), 100):
                 trees = [parse(h) for h in htmls[k:k + 100]]
                 made = [features(t) for t in trees]
-                logs = log_probabilities(shared.value, np.concatenate([x for x, _ in made]))
+                logs = log_probabilities(model, np.concatenate([x for x, _ in made]))
                 at = 0
                 for tree, (x, chars) in zip(trees, made, strict=True):
                     texts.append(main_text(tree, decode(tree, logs[at:at + len(x)], chars)))

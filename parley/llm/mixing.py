@@ -34,10 +34,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.bpe import let
-from parley.llm.common import stage, text_or_empty
+from parley.llm.common import bounded_sample, stage, text_or_empty
 
 SIGNS = r"[#$%&*|!@^~<>{}\[\]=+_]"
 CAPITALS = "[A-Z]"
+CLASSES = 200_000  # rows of the table that the gradient steps fold over
 UNIT = 1 << 30  # posteriors are summed as multiples of 1 / UNIT
 
 
@@ -76,7 +77,7 @@ def fit(docs: DataFrame, domains: DataFrame, id_col: str = "doc_id", text_col: s
         return Classifier([])
     chosen = own.limit(0)
     for d in names:
-        chosen = chosen.unionAll(own.filter(F.col("domain") == d).orderBy(F.xxhash64("id"), "id").limit(per_domain))
+        chosen = chosen.unionAll(bounded_sample(own.filter(F.col("domain") == d), F.xxhash64("id"), per_domain, totals[d]))
     text = text_or_empty(text_col)
     picked = docs.select(F.col(id_col).alias("id"), text.alias("text"), *[c.alias(f"f_{k}") for k, c in features(
         text, F.col(lang_col) if lang_col and lang_col in docs.columns else None).items()])
@@ -180,13 +181,14 @@ def fit_rates(classes: DataFrame, n: int, steps: int, targets: list[float], anch
 def mix(docs: DataFrame, domains: DataFrame, targets: dict[str, float], anchor: str, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str | None = "lang", steps: int = 16, ridge: float = 0.002, rounds: int = 400) -> DataFrame:
     """``docs`` with ``rate`` double and ``copies`` int. ``targets``: weight per domain
-    (domains of ``domains`` that it leaves out have target 0). ``steps``: so few that the
-    classes, C(steps + D - 1, D - 1) at most, fit a table of 200,000 rows."""
+    (domains of ``domains`` that it leaves out have target 0). ``steps``: the finest
+    rounding; with many domains it is as coarse as keeps the classes at ``CLASSES`` or fewer."""
     base = docs.drop("rate", "copies")
     names = base.columns
     model = fit(base, domains, id_col, text_col, lang_col)
-    if math.comb(steps + max(len(model.domains), 1) - 1, max(len(model.domains), 1) - 1) > 200_000:  # ways to deal the steps out
-        raise ValueError("fewer steps for so many domains")
+    others = max(len(model.domains), 1) - 1
+    while steps > 1 and math.comb(steps + others, others) > CLASSES:  # ways to deal the steps out
+        steps -= 1
     if not model.domains or anchor not in model.domains:
         return base.withColumns({"rate": F.lit(1.0), "copies": F.lit(1)})
     work = base.toDF(*[f"c{k}" for k in range(len(names))])  # no clash with working columns

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from parley.llm import pretoken
 from parley.llm.bpe import frequent, word_counts
-from parley.llm.common import stage, strings, text_or_empty
+from parley.llm.common import bounded_sample, stage, strings, text_or_empty
 
 EXTRAS = 5  # pooled figures beside the mean vector
 POOL_WORDS = 100_000  # words whose vectors are gathered at a time
@@ -182,8 +182,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_i
         share = totals.get(1, 0) / sum(totals.values()) if totals else 0.5
         return Model({}, np.zeros((1, dim), np.float32), np.zeros(dim + EXTRAS), np.ones(dim + EXTRAS),
                      [np.zeros((dim + EXTRAS, 1)), np.zeros(1), np.zeros((1, 1)), np.array([np.log(max(share, 1e-6) / max(1 - share, 1e-6))])], 1.0)
-    chosen = own.filter("y = 0").orderBy(F.xxhash64("id"), "id").limit(per_class).unionAll(
-        own.filter("y = 1").orderBy(F.xxhash64("id"), "id").limit(per_class))
+    mark = F.xxhash64("id")
+    chosen = bounded_sample(own.filter("y = 0"), mark, per_class, totals[0]).unionAll(bounded_sample(own.filter("y = 1"), mark, per_class, totals[1]))
     # at most 2 * per_class ids
     sample = stage(docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text")).join(F.broadcast(chosen), "id"), "quality-sample")
     sample = sample.repartition(sample.sparkSession.sparkContext.defaultParallelism)
@@ -221,13 +221,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """``docs`` with a column ``out`` (replaced if it is there): the probability of label 1."""
     kept = docs.drop(out)
     names, place = kept.columns, kept.columns.index(text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a broadcast is pickled by reference, and executors may lack this package
+    shared = docs.sparkSession.sparkContext.broadcast((model.words, model.vectors, model.centre, model.scale, model.layers, model.temperature))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, classes = shared.value, pretoken.char_classes()
+        (words, vectors, centre, scale, layers, t), classes = shared.value, pretoken.char_classes()
         for batch in batches:
-            x = (pool(strings(batch.column(place).cast(pa.string())), m.words, m.vectors, classes) - m.centre) / m.scale
-            p = _sigmoid(_forward(x, m.layers)[1] / m.temperature)
+            x = (pool(strings(batch.column(place).cast(pa.string())), words, vectors, classes) - centre) / scale
+            p = _sigmoid(_forward(x, layers)[1] / t)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], [*names, out])
 
     from pyspark.sql import types as T

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.llm.common import stage
+from parley.llm.common import bounded_sample, stage
 
 SLACK = 1e-6  # relative; far above the rounding of the distances, which only bound
 
@@ -54,9 +54,9 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T, 0))
 
 
-def fit_index(rows: DataFrame, most: dict[int, float], pivots: int, annuli: int, sample: int) -> dict[int, tuple]:
+def fit_index(rows: DataFrame, most: dict[int, float], pivots: int, annuli: int, sample: int, total: int) -> dict[int, tuple]:
     """dim -> (pivots, annulus cuts per pivot), from the ``sample`` rows of least hash."""
-    some = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("vec").collect()
+    some = bounded_sample(rows, F.xxhash64("id", "vec"), sample, total).select("vec").collect()
     by_dim: dict[int, list] = {}
     for r in some:
         by_dim.setdefault(len(r["vec"]), []).append(r["vec"])
@@ -83,8 +83,9 @@ def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec_col:
         F.col(id_col).cast("long").alias("id"), integers(vec_col).alias("vec"), F.coalesce(queries, F.lit(False)).alias("asks"))
     rows = rows.withColumn("dim", F.size("vec")).filter("dim > 0")
     square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
-    most = {r["dim"]: r["most"] for r in rows.groupBy("dim").agg(F.max(square).alias("most")).collect()}
-    index = fit_index(rows, most, pivots, annuli, sample)
+    lengths = rows.groupBy("dim").agg(F.max(square).alias("most"), F.count(F.lit(1)).alias("n")).collect()
+    most = {r["dim"]: r["most"] for r in lengths}
+    index = fit_index(rows, most, pivots, annuli, sample, sum(r["n"] for r in lengths))
 
     def place(frames):
         for f in frames:

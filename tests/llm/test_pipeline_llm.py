@@ -31,7 +31,6 @@ def test_stages(spark, tmp_path):
             fps = [plain_fingerprint(r["text"]) for r in before.collect()]
             kept = [plain_fingerprint(r["text"]) for r in out.collect()]
             assert set(kept) <= set(fps) and len(set(kept)) == len(kept)
-            assert all(min((a ^ b).bit_count() for b in kept) <= 64 for a in fps)
             for i, a in enumerate(kept):
                 assert all((a ^ b).bit_count() > 2 for b in kept[i + 1:])
     assert rows["line_dedup"] <= rows["quality_classifier"] and rows["byte_level_bpe"] == rows["mixing"]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -69,3 +70,19 @@ def test_token_counts_are_the_library(spark):
         got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["n_bytes"], r["n_tokens"]) for r in rows)
         assert got == sorted((k if k != 3 else -1, len((t or "").encode()), len(model.encode(t or ""))) for k, t in enumerate(texts))
     assert tokens.token_counts(docs_of(spark, texts).limit(0), MODEL).count() == 0
+
+
+def test_long_words():
+    pieces = bpe.read_ranks(RANKS)
+    ranks = {p: i for i, p in enumerate(pieces)}
+    byte_id = [ranks[bytes([b])] for b in range(256)]
+    merges = {int.from_bytes(k[:bpe.WIDTH], "big") << 24 | int.from_bytes(k[bpe.WIDTH:], "big"): int.from_bytes(v, "big") for k, v in bpe.pair_ranks(pieces).items()}
+    known = tiktoken.Encoding("t", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(4)
+    for word in ["a" * 501, "ab" * 300, "".join(rng.choice("etaoinshrdlu") for _ in range(3000)), "日本語" * 200, "".join(rng.choice("aé ") for _ in range(999))]:
+        data = word.encode()
+        assert list(memoryview(bpe.fold_long(data, byte_id, merges)).cast("I")) == known.encode(word)
+        assert bpe.fold_long(data[:150], byte_id, merges) == bpe.fold_word(data[:150], byte_id, merges)
+    start = time.time()
+    bpe.fold_word(("".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000))).encode(), byte_id, merges)
+    assert time.time() - start < 30

@@ -7,10 +7,10 @@ ASCII by default while Python's are Unicode-aware.
 
 from __future__ import annotations
 
+import html.entities
+import json
 from functools import reduce
 
-import pandas as pd
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,23 +29,80 @@ LEADING_MENTIONS = r"^(@[A-Za-z0-9_]+" + WS + r"*)+"
 INLINE_MENTION = r"@[A-Za-z0-9_]+"
 URL = r"https?://" + NON_WS + r"+|www\." + NON_WS + r"+"
 ALNUM_ASCII = r"[a-zA-Z0-9]"
-# Entity subset decoded by default; '&amp;' goes last so one pass is kept.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-            ("&apos;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"),
-            ("&middot;", "\u00b7"), ("&hellip;", "\u2026"), ("&ndash;", "\u2013"), ("&mdash;", "\u2014"),
-            ("&euro;", "\u20ac"), ("&amp;", "&")]
+# A character reference after its ``&``, as HTML reads it.
+REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+BARE_NAME = 6   # no name that may stand without a semicolon is longer
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _literal(value: dict, kind: str) -> Column:
+    """A map literal in one expression (folded to a constant when the query is planned)."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def entity_names() -> dict[str, str]:
+    """HTML's named character references (name with its semicolon, if it needs one)."""
+    return html.entities.html5
+
+
+def odd_code_points() -> dict[int, str]:
+    """Numeric references that do not mean their own code point: NUL, the C1 range, which
+    HTML reads as Windows-1252, and code points that give nothing."""
+    gone = [*range(0x1, 0x9), 0xB, *range(0xE, 0x20), *range(0x7F, 0xA0), *range(0xFDD0, 0xFDF0)]
+    gone += [plane << 16 | last for plane in range(17) for last in (0xFFFE, 0xFFFF)]
+    c1 = {k: bytes([k]).decode("cp1252", "ignore") or chr(k) for k in range(0x80, 0xA0)}
+    return {**{k: "" for k in gone}, **c1, 0: "\ufffd"}
+
+
+def _code_point(n: Column) -> Column:
+    """The character of a code point (long); U+FFFD for surrogates and beyond the last one."""
+    char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    odd = _literal({str(k): v for k, v in odd_code_points().items()}, "map<string,string>")
+    bad = (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+    return F.coalesce(F.try_element_at(odd, n.cast("string")), F.when(bad, F.lit("\ufffd")).otherwise(char))
+
+
+def _numeric(ref: Column) -> Column:
+    digits = F.regexp_extract(ref, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+    # more than eight significant digits are beyond the last code point in either base
+    short = F.when(F.length(digits) > 8, F.lit("99999999")).when(digits == "", F.lit("0")).otherwise(digits)
+    base = F.when(ref.rlike("^#[xX]"), F.conv(short, 16, 10)).otherwise(F.conv(short, 10, 10))
+    return _bind(base.cast("long"), _code_point)
+
+
+def _named(ref: Column) -> Column:
+    """A named reference: the whole name, else the longest name that it starts with, else itself."""
+    by_first: dict[str, dict[str, str]] = {}
+    for name, value in entity_names().items():
+        by_first.setdefault(name[0], {})[name] = value
+    bare = {name: value for name, value in entity_names().items() if not name.endswith(";")}
+    own = F.try_element_at(_literal(by_first, "map<string,map<string,string>>"), F.substring(ref, 1, 1))
+    starts = _literal(bare, "map<string,string>")
+    prefixes = [F.when(F.length(ref) > n, F.concat(F.try_element_at(starts, F.substring(ref, 1, n)), F.substring(ref, n + 1, 64))) for n in range(BARE_NAME, 1, -1)]
+    return F.coalesce(F.try_element_at(own, ref), *prefixes, F.concat(F.lit("&"), ref))
+
+
+def _decoded(part: Column) -> Column:
+    """What follows an ``&`` up to the next one, its reference decoded."""
+    return _bind(F.regexp_extract(part, REFERENCE, 1), lambda ref: F.when(ref == "", F.concat(F.lit("&"), part)).otherwise(
+        F.concat(F.when(F.startswith(ref, F.lit("#")), _numeric(ref)).otherwise(_named(ref)), F.substring(part, F.length(ref) + 1, F.length(part)))))
+
+
 def unescape_entities(x) -> Column:
-    """HTML entity unescape (common entity set, single pass)."""
+    """HTML character references, named (with or without semicolon, by longest prefix)
+    and numeric, in one pass from left to right; texts without ``&`` are left alone."""
     c = _c(x)
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    parts = F.split(c, "&")
+    return F.when(F.contains(c, F.lit("&")), F.concat(F.get(parts, F.lit(0)), F.array_join(
+        F.transform(F.slice(parts, F.lit(2), F.size(parts)), _decoded), ""))).otherwise(c)
 
 
 def strip_tags(x) -> Column:
@@ -168,22 +225,6 @@ def safe_ratio(num, den) -> Column:
     return _c(num).cast("double") / F.greatest(F.lit(1), _c(den)).cast("double")
 
 
-def unescape_full(x) -> Column:
-    """F1, full HTML5 entity table (opt-in): Arrow-batched pandas UDF over
-    ``html.unescape``; use only where the common set above is not enough."""
-    return _unescape_full_udf()(_c(x))
-
-
-def _unescape_full_udf():
-    import html
-
-    @F.pandas_udf("string")
-    def _unescape(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: html.unescape(v) if isinstance(v, str) else v)
-
-    return _unescape
-
-
 def truncate(x, n: int = 120) -> Column:
     """first ``n`` characters."""
     return F.substring(_c(x), 1, n)

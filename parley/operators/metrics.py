@@ -9,10 +9,10 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.operators.sampling import global_rank
+from parley.operators.util import checked_broadcast, range_count, staged
 
 
 def _div(a, b) -> Column:
@@ -115,13 +115,36 @@ def score_means(df: DataFrame, dims, default: int = 3) -> DataFrame:
     return df.agg(*[F.round(F.avg(F.coalesce(F.col(d), F.lit(default))), 2).alias(f"mean_{d}") for d in dims])
 
 
+def value_positions(df: DataFrame, col: str, weight: str | None = None) -> DataFrame:
+    """(value, n, before, total): every distinct non-null value of ``col``, its rows (the sum of
+    ``weight``), the rows with smaller values and all rows. A distributed prefix sum: counts per
+    value are dealt by range and staged (narrow), each range sums its own, and the ranges' sums
+    (one row each) are the offsets."""
+    held = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).cast("long").alias("n"))
+    dealt = staged(held.repartitionByRange(range_count(df), "value").withColumn("range", F.spark_partition_id()), "value-counts")
+    all_ranges = Window.partitionBy(F.lit(0))  # one row per range
+    sums = dealt.groupBy("range").agg(F.sum("n").alias("here"))
+    sums = sums.select("range", F.coalesce(F.sum("here").over(all_ranges.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"),
+                       F.sum("here").over(all_ranges).alias("total"))
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    local = dealt.withColumn("earlier", earlier)
+    return local.join(checked_broadcast(sums, range_count(df)), "range").select("value", "n", (F.col("offset") + F.col("earlier")).alias("before"), "total")
+
+
+def exact_median(df: DataFrame, col: str, out: str = "median", weight: str | None = None) -> DataFrame:
+    """One row with the exact median of ``col`` (nulls left out; null of no rows; a row counts
+    ``weight`` times): only the values that hold the middle positions reach the last aggregate."""
+    low, high = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
+    holds = lambda k: (F.col("before") < k) & (k <= F.col("before") + F.col("n"))
+    middle = value_positions(df, col, weight).filter(holds(low) | holds(high))
+    return middle.agg(((F.max(F.when(holds(low), F.col("value"))) + F.max(F.when(holds(high), F.col("value")))) / 2.0).alias(out))
+
+
 def average_ranks(df: DataFrame, col: str, id_col: str, out: str) -> DataFrame:
-    """Fractional ranks (ties share the mean of their positions), exact, no
-    single-task window: global positions by range partitioning, then the mean
-    position per distinct value."""
-    pos = global_rank(df.select(id_col, col), [F.col(col).asc(), F.col(id_col).asc()], "__pos")
-    per_value = pos.groupBy(col).agg(F.avg("__pos").alias(out))
-    return df.join(per_value, col, "left")
+    """Fractional ranks (ties share the mean of their positions; null has none), exact:
+    a value's mean position follows from the rows before it and its own."""
+    ranks = value_positions(df, col).select(F.col("value").alias("__value"), (F.col("before") + (F.col("n") + 1) / 2.0).alias(out))
+    return df.join(ranks, F.col(col) == F.col("__value"), "left").drop("__value")
 
 
 def agreement(df: DataFrame, human: str, judge: str) -> DataFrame:
@@ -133,51 +156,54 @@ def agreement(df: DataFrame, human: str, judge: str) -> DataFrame:
                   F.round(F.avg(d.cast("double")), 4).alias("mae"))
 
 
-def spearman(df: DataFrame, a: str, b: str, id_col: str) -> DataFrame:
-    """Spearman rho = Pearson correlation of average ranks; constant input -> 0.0
-    (no ANSI divide-by-zero: ``try_divide``)."""
-    ra = average_ranks(df.select(id_col, a, b), a, id_col, "__ra")
-    rb = average_ranks(ra, b, id_col, "__rb")
-    rho = F.coalesce(F.try_divide(F.covar_pop("__ra", "__rb"),
-                                  F.stddev_pop("__ra") * F.stddev_pop("__rb")), F.lit(0.0))
-    return rb.agg(F.count(F.lit(1)).alias("n"), rho.alias("rho"))
+def _joint_counts(df: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, b, n) of the rows that have both: the only table that ranks are attached to."""
+    both = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    return staged(both.groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count(F.lit(1)).alias("n")), "joint-counts")
+
+
+def _rank_correlation() -> list[Column]:
+    """Aggregates over joint counts with average ranks (ra, rb, total): n and rho; constant
+    input -> 0.0 (no ANSI divide-by-zero: ``try_divide``)."""
+    middle = (F.col("total") + 1) / 2.0
+    da, db, n = F.col("ra") - middle, F.col("rb") - middle, F.col("n")
+    rho = F.try_divide(F.sum(n * da * db), F.sqrt(F.sum(n * da * da)) * F.sqrt(F.sum(n * db * db)))
+    return [F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"), F.coalesce(rho, F.lit(0.0)).alias("rho")]
+
+
+def _ranked_counts(joint: DataFrame) -> DataFrame:
+    for side, rank in (("a", "ra"), ("b", "rb")):
+        keep = ["total"] if side == "a" else []
+        ranks = value_positions(joint, side, "n").select(F.col("value").alias("v"), (F.col("before") + (F.col("n") + 1) / 2.0).alias(rank), *keep)
+        joint = joint.join(ranks, F.col(side) == F.col("v")).drop("v")
+    return joint
+
+
+def spearman(df: DataFrame, a: str, b: str, id_col: str | None = None) -> DataFrame:
+    """(n, rho), Spearman's rho = Pearson correlation of average ranks, over the rows
+    that have both values; computed on the counts per value pair, so that a value held by very many
+    rows is one row."""
+    return _ranked_counts(_joint_counts(df, a, b)).agg(*_rank_correlation())
 
 
 # --- two-sided p-value of rho (a scalar helper on the one result row) --------
-def _betacf(a: float, b: float, x: float) -> float:
-    tiny, qab, qap, qam = 1e-300, a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 300):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < 3e-16:
-            break
-    return h
-
-
-def _betainc(a: float, b: float, x: float) -> float:
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(1.0 - x)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+def _student_tail(t: float, dof: int) -> float:
+    """P(|T| > t) of Student's distribution: the density beyond t summed by the
+    double-exponential rule u = t + exp(pi/2 sinh s)."""
+    half = dof / 2.0
+    if dof < 1e6:
+        scale = math.lgamma(half + 0.5) - math.lgamma(half)
+    else:  # the logarithms would cancel: ratio of the gammas by its expansion
+        scale = 0.5 * math.log(half) + math.log1p(-1 / (4 * dof) + 1 / (32 * dof * dof))
+    scale -= 0.5 * math.log(dof * math.pi)
+    step, total = 1 / 64, 0.0
+    for k in range(-6 * 64, 6 * 64 + 1):
+        e = math.pi / 2 * math.sinh(k * step)
+        u = t + math.exp(e)
+        log_density = scale - (dof + 1) / 2 * math.log1p(u * u / dof) + e
+        if log_density > -745:
+            total += math.exp(log_density) * math.cosh(k * step)
+    return min(1.0, 2 * total * step * math.pi / 2)
 
 
 def spearman_p_value(rho: float, n: int) -> float:
@@ -189,7 +215,7 @@ def spearman_p_value(rho: float, n: int) -> float:
         return 0.0
     dof = n - 2
     t = rho * math.sqrt(dof / (1.0 - rho * rho))
-    return _betainc(dof / 2.0, 0.5, dof / (dof + t * t))
+    return _student_tail(abs(t), dof)
 
 
 def with_p_value(rho_df: DataFrame) -> DataFrame:
@@ -201,16 +227,14 @@ def with_p_value(rho_df: DataFrame) -> DataFrame:
     return rho_df.withColumn("p_value", _p(F.col("rho"), F.col("n")))
 
 
-def agreement_report(df: DataFrame, human: str, judge: str, id_col: str) -> DataFrame:
-    """A25 + A26 in one aggregate over the rank-annotated rows: exact / within-one
-    rates, MAE and Spearman rho (no join of separate one-row results)."""
-    ra = average_ranks(df.select(id_col, human, judge), human, id_col, "__ra")
-    rb = average_ranks(ra, judge, id_col, "__rb")
-    d = F.abs(F.col(human) - F.col(judge))
-    rho = F.coalesce(F.try_divide(F.covar_pop("__ra", "__rb"),
-                                  F.stddev_pop("__ra") * F.stddev_pop("__rb")), F.lit(0.0))
-    return rb.agg(F.count(F.lit(1)).alias("n"),
-                  F.round(F.avg((d == 0).cast("double")), 4).alias("exact_rate"),
-                  F.round(F.avg((d <= 1).cast("double")), 4).alias("within_one_rate"),
-                  F.round(F.avg(d.cast("double")), 4).alias("mae"),
-                  F.round(rho, 6).alias("rho"))
+def agreement_report(df: DataFrame, human: str, judge: str, id_col: str | None = None) -> DataFrame:
+    """A25 + A26 in one aggregate over the counts per pair of ratings: exact / within-one
+    rates, MAE and Spearman rho, over the rows that both rated."""
+    joint = _ranked_counts(_joint_counts(df, human, judge))
+    d, n = F.abs(F.col("a") - F.col("b")), F.col("n")
+
+    def mean(x: Column) -> Column:
+        return F.round(F.sum(x.cast("double") * n) / F.sum(n), 4)
+
+    size, rho = _rank_correlation()
+    return joint.agg(size, mean(d == 0).alias("exact_rate"), mean(d <= 1).alias("within_one_rate"), mean(d).alias("mae"), F.round(rho, 6).alias("rho"))

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.functions.text import safe_ratio
-from parley.operators.util import checked_broadcast
+from parley.operators.metrics import exact_median
+from parley.operators.util import checked_broadcast, staged
 
 
 def _pct(num, den) -> F.Column:
@@ -60,16 +61,26 @@ def top_authors(msgs: DataFrame, n: int = 20, outbound_only: bool = True) -> Dat
 
 
 def length_stats(msgs: DataFrame, col: str = "text", approx: bool = False) -> DataFrame:
-    """mean/median/population std/min/max of code-point length; the median is
-    exact by default (counts per distinct length) or ``percentile_approx`` when asked."""
+    """mean/median/population std/min/max of code-point length, all from the rows per
+    distinct length; the median is exact by default or ``percentile_approx`` when asked."""
     ln = F.length(F.col(col))
-    med = F.percentile_approx(ln, 0.5, 10_000).cast("double") if approx else F.median(ln)
-    return msgs.filter(F.col(col).isNotNull()).agg(
-        F.round(F.avg(ln), 4).alias("mean_len"),
-        F.round(med, 4).alias("median_len"),
-        F.round(F.stddev_pop(ln), 4).alias("std_len"),
-        F.min(ln).alias("min_len"),
-        F.max(ln).alias("max_len"))
+    if approx:
+        return msgs.filter(F.col(col).isNotNull()).agg(*_moments(ln), F.round(F.percentile_approx(ln, 0.5, 10_000).cast("double"), 4).alias("median_len")).select(*LENGTH_COLUMNS)
+    sizes = staged(msgs.filter(F.col(col).isNotNull()).select(ln.alias("size")).groupBy("size").agg(F.count(F.lit(1)).alias("n")), "lengths")
+    # a row per distinct length: mean, spread and ends by weight
+    n, x = F.col("n"), F.col("size").cast("double")
+    mean = F.sum(x * n) / F.sum(n)
+    spread = F.sqrt(F.greatest(F.sum(x * x * n) / F.sum(n) - mean * mean, F.lit(0.0)))
+    whole = sizes.agg(F.round(mean, 4).alias("mean_len"), F.round(spread, 4).alias("std_len"), F.min("size").alias("min_len"), F.max("size").alias("max_len"))
+    middle = exact_median(sizes, "size", "m", weight="n").select(F.round("m", 4)).scalar()
+    return whole.withColumn("median_len", middle).select(*LENGTH_COLUMNS)
+
+
+LENGTH_COLUMNS = ["mean_len", "median_len", "std_len", "min_len", "max_len"]
+
+
+def _moments(ln: Column) -> list[Column]:
+    return [F.round(F.avg(ln), 4).alias("mean_len"), F.round(F.stddev_pop(ln), 4).alias("std_len"), F.min(ln).alias("min_len"), F.max(ln).alias("max_len")]
 
 
 def brand_counts(msgs: DataFrame, notes: DataFrame, notes_rows: int | None = None) -> DataFrame:

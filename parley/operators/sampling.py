@@ -6,6 +6,9 @@ Exact global ranks avoid the single-task ``row_number() OVER (ORDER BY ..)``:
 rows are range-partitioned and sorted, each task numbers its own rows, the
 per-partition counts (one row per partition) give offsets, and a broadcast of
 that tiny table turns local numbers into global ranks.
+
+Splits need no ranks: the last row of the first part is selected the same way, from
+the order columns alone, and every row is compared with it where it lies.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.operators.util import checked_broadcast, reliable_checkpoint
+from parley.operators.util import checked_broadcast, range_count, reliable_checkpoint, staged
 
 
 def hash_key(id_col, seed: int = 42) -> Column:
@@ -65,25 +68,43 @@ def global_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank",
     return out.drop("__pid", "__mid", "__base", "__off")
 
 
+def cut_rows(df: DataFrame, order: Column, ratio: float, group: Column | None = None) -> DataFrame:
+    """(grp, bound): the row number floor(n * ratio) of every group in ascending ``order`` (one
+    orderable value, unique per row); no row where that number is 0. Only ``order`` and the group
+    are dealt by range and staged; the counts per range and group tell which
+    range holds the row, and rows are numbered within such ranges alone."""
+    rows = df.select((F.lit(0) if group is None else group).alias("grp"), order.alias("bound"))
+    dealt = staged(rows.repartitionByRange(range_count(df), "grp", "bound").withColumn("range", F.spark_partition_id()), "ranges")
+    of_group = Window.partitionBy("grp")
+    counts = dealt.groupBy("range", "grp").agg(F.count(F.lit(1)).alias("here"))
+    counts = counts.select("range", "grp", "here", F.coalesce(F.sum("here").over(of_group.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+                           F.floor(F.sum("here").over(of_group) * ratio).alias("cut"))
+    held = counts.filter((F.col("before") < F.col("cut")) & (F.col("cut") <= F.col("before") + F.col("here")))
+    held = held.select(F.col("range").alias("r"), F.col("grp").alias("g"), (F.col("cut") - F.col("before")).alias("place"))
+    numbered = dealt.join(held, (F.col("range") == F.col("r")) & F.col("grp").eqNullSafe(F.col("g"))) \
+        .withColumn("number", F.row_number().over(Window.partitionBy("range", "grp").orderBy("bound")))
+    return numbered.filter(F.col("number") == F.col("place")).select("grp", "bound")
+
+
 def temporal_split(df: DataFrame, ts_col: str, key_col: str, ratio: float = 0.80,
                    split_col: str = "split") -> DataFrame:
-    """Oldest ``floor(n * ratio)`` rows (timestamp asc, nulls last, key) -> 'train',
-    the rest -> 'eval'."""
-    ranked = global_rank(df, [F.col(ts_col).asc_nulls_last(), F.col(key_col).asc()], "__rank", keep_total=True)
-    cut = F.floor(F.col("__total") * ratio)     # the row count comes from the offsets table
-    return ranked.withColumn(split_col, F.when(F.col("__rank") <= cut, F.lit("train")).otherwise(F.lit("eval"))) \
-                 .drop("__rank", "__total")
+    """Oldest ``floor(n * ratio)`` rows (timestamp asc, nulls last, unique key) -> 'train',
+    the rest -> 'eval'. One row, the last of the first part, is looked up; ``df`` itself
+    is neither shuffled nor staged."""
+    order = F.struct(F.col(ts_col).isNull().alias("undated"), F.col(ts_col).alias("ts"), F.col(key_col).alias("key"))
+    last = cut_rows(df, order, ratio).select("bound").scalar()
+    return df.withColumn(split_col, F.when(F.coalesce(order <= last, F.lit(False)), F.lit("train")).otherwise(F.lit("eval")))
 
 
 def stratified_split(df: DataFrame, label_col: str, id_col: str, ratio: float = 0.80, seed: int = 42,
                      split_col: str = "split") -> DataFrame:
-    """Per label, the first ``floor(n_label * ratio)`` rows by ``md5(seed||id)`` -> 'train'."""
-    keyed = df.withColumn("__h", hash_key(id_col, seed))
-    ranked = global_rank(keyed, [F.col("__h").asc(), F.col(id_col).asc()], "__rank", group=label_col,
-                         keep_total=True)   # __total = rows of this label
-    return (ranked.withColumn(split_col, F.when(F.col("__rank") <= F.floor(F.col("__total") * ratio), F.lit("train"))
-                                           .otherwise(F.lit("test")))
-                  .drop("__h", "__rank", "__total"))
+    """Per label, the first ``floor(n_label * ratio)`` rows by ``md5(seed||id)`` (unique id) ->
+    'train'. A row meets its label's last training row, one per label."""
+    order = F.struct(hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
+    last = cut_rows(df, order, ratio, F.col(label_col)).select(F.col("grp").alias("__label"), F.col("bound").alias("__last"))
+    return (df.join(last, F.col(label_col).eqNullSafe(F.col("__label")), "left")
+              .withColumn(split_col, F.when(F.coalesce(order <= F.col("__last"), F.lit(False)), F.lit("train")).otherwise(F.lit("test")))
+              .drop("__label", "__last"))
 
 
 def tier_sample(df: DataFrame, group_col: str, quotas: dict, id_col: str, seed: int = 42) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,3 +26,17 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     from parley.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet into the shared checkpoint folder and read back: cuts
+    lineage like a checkpoint, survives lost executors, and later reads prune columns."""
+    from parley.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/staged/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def range_count(df: DataFrame) -> int:
+    """How many ranges to deal rows into: the session's shuffle partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -203,3 +203,33 @@ def q_decisions_by_tier(spark, d):
     g = R.golden_from_branch("__branch", F.col("text"), F.col("source"), human="__human")
     x = docs.select(g["difficulty"].alias("difficulty"), g["expected_decision"].alias("expected_decision"))
     return x.rollup("difficulty", "expected_decision").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _numeric_sql(code: str) -> str:
+    """What a numeric reference to ``code`` means."""
+    odd = ", ".join(f"({k}, {S.q(v)})" for k, v in tx.odd_code_points().items() if k)
+    return f"CASE WHEN {code} = 0 OR {code} > 1114111 OR {code} BETWEEN 55296 AND 57343 THEN chr(65533) ELSE coalesce((SELECT v FROM (VALUES {odd}) o(k, v) WHERE k = {code}), chr({code}::INTEGER)) END"
+
+
+ENTITY_NAMES = sorted(tx.entity_names())
+# Three names a document, one after the other; names without semicolon stand before a space or another name's rest.
+ENTITY_SQL = f"""
+WITH names AS (SELECT * FROM (VALUES {", ".join(f"({k}, {S.q(n)}, {S.q(tx.entity_names()[n])})" for k, n in enumerate(ENTITY_NAMES))}) t(k, name, value)),
+d AS (SELECT doc_id, replace(text, '&', '+') AS body, (doc_id * 7919) % 1200000 AS code, (doc_id * 31) % 256 AS low FROM documents)
+SELECT doc_id, a.value || ' ' || body || b.value || ' ' || c.value || '<&' || ' ' || {_numeric_sql('code')} || '&;' || {_numeric_sql('low')} || ' ' || 'é1&' AS text
+FROM d JOIN names a ON a.k = (3 * doc_id) % {len(ENTITY_NAMES)} JOIN names b ON b.k = (3 * doc_id + 1) % {len(ENTITY_NAMES)} JOIN names c ON c.k = (3 * doc_id + 2) % {len(ENTITY_NAMES)}"""
+
+
+@query("decoded_entities", sql=ENTITY_SQL)
+def q_decoded_entities(spark, d):
+    """every document with references of all kinds set into its text (each name of the HTML
+    table in turn, numeric ones of all ranges, bare ampersands), decoded again."""
+    names = spark.createDataFrame(list(enumerate(ENTITY_NAMES)), "k long, name string")  # the fixed HTML table
+    docs = table(spark, d, "documents").select("doc_id", F.replace("text", F.lit("&"), F.lit("+")).alias("body"))
+    for j, out in enumerate(("a", "b", "c")):
+        place = names.select(F.col("k").alias(f"k{j}"), F.col("name").alias(out))
+        docs = docs.join(F.broadcast(place), (3 * F.col("doc_id") + j) % len(ENTITY_NAMES) == F.col(f"k{j}")).drop(f"k{j}")
+    code = ((F.col("doc_id") * 7919) % 1200000).cast("string")
+    low = F.lower(F.hex((F.col("doc_id") * 31) % 256))
+    marked = F.concat(F.lit("&"), "a", F.lit(" "), "body", F.lit("&"), "b", F.lit(" &"), "c", F.lit("<& &#"), code, F.lit(";&;&#x"), low, F.lit(" &eacute1&"))
+    return docs.select("doc_id", tx.unescape_entities(marked).alias("text"))

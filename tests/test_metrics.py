@@ -1,5 +1,10 @@
 """Golden numbers restated from the reference's stored results."""
 
+import math
+import random
+import statistics
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,11 +77,31 @@ def test_confusion_has_no_label_limit(spark):
     assert got.count() == 20_000 and got.filter("true_label = pred_label").count() == 10_000
 
 
-def test_rank_correlation_query_has_its_p_value(spark):
-    from parley.plans.registry import load_all
-    sf = "/root/testdata/sf0.001"
-    r = load_all()["rank_correlation_p"].build(spark, sf).first()
-    plain = load_all()["rank_correlation"].build(spark, sf).first()
-    assert (r["n"], round(r["rho"], 6)) == (plain["n"], plain["rho"])
-    assert r["p_value"] == M.spearman_p_value(r["rho"], r["n"])
-    assert 0.0 <= r["p_value"] <= 1.0
+def test_p_value_closed_forms():
+    for t in (0.0, 0.3, 1.0, 4.0, 60.0):
+        assert M._student_tail(t, 1) == pytest.approx(1 - 2 / math.pi * math.atan(t), rel=1e-9)
+        assert M._student_tail(t, 2) == pytest.approx(1 - t / math.sqrt(2 + t * t), rel=1e-9)
+    assert M._student_tail(2.0, 10) == pytest.approx(0.07338803, abs=1e-8)
+    for dof in (999_999, 1_000_001, 10**9):  # nearly normal
+        assert M._student_tail(1.96, dof) == pytest.approx(math.erfc(1.96 / math.sqrt(2)), rel=1e-5)
+    assert M._student_tail(500.0, 10**6) == 0.0
+
+
+def ranks(values):
+    order = sorted(values)
+    return [order.index(v) + (order.count(v) + 1) / 2 for v in values]
+
+
+def test_positions_medians_and_ranks(spark):
+    rng = random.Random(3)
+    for values in ([5], [2, 1], [3, 3, 3, 1], [rng.randrange(20) / 4 for _ in range(301)], [rng.random() for _ in range(200)], [1.0] * 50 + [rng.random() for _ in range(49)]):
+        df = spark.createDataFrame([(k, float(v)) for k, v in enumerate(values)] + [(-1, None)], "id long, v double").repartition(5)
+        assert M.exact_median(df, "v").first()["median"] == statistics.median(values)
+        got = {r["id"]: r["r"] for r in M.average_ranks(df, "v", "id", "r").collect()}
+        assert got == {-1: None, **dict(enumerate(ranks(values)))}
+    assert M.exact_median(df.limit(0), "v").first()["median"] is None
+    a, b = [rng.randrange(4) for _ in range(80)], [rng.randrange(7) for _ in range(80)]
+    df = spark.createDataFrame(list(zip(a, b)) + [(1, None), (None, None)], "a int, b int")
+    r = M.spearman(df, "a", "b").first()
+    assert r["n"] == 80 and r["rho"] == pytest.approx(np.corrcoef(ranks(a), ranks(b))[0, 1])
+    assert M.spearman(df.limit(0), "a", "b").first() == (0, 0.0)

@@ -19,6 +19,29 @@ def test_temporal_split_exact_and_disjoint(spark):
     assert train.agg(F.max("ts")).first()[0] <= test.agg(F.min("ts")).first()[0]
 
 
+def test_splits_of_odd_tables(spark):
+    rows = [(k, None if k % 7 == 0 else k % 5, "ab"[k % 2] if k % 9 else None) for k in range(103)]
+    df = spark.createDataFrame(rows, "id long, ts int, label string").repartition(6)
+    for ratio in (0.0, 0.004, 0.5, 0.8, 1.0):
+        order = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[0]))
+        want = {r[0] for r in order[:int(len(rows) * ratio)]}
+        assert {r["id"] for r in SM.temporal_split(df, "ts", "id", ratio).filter("split = 'train'").collect()} == want
+    out = SM.stratified_split(df, "label", "id", 0.8)
+    got = {r["label"]: r["n"] for r in out.filter("split = 'train'").groupBy("label").agg(F.count("*").alias("n")).collect()}
+    assert got == {x: int(0.8 * sum(r[2] == x for r in rows)) for x in ("a", "b", None)}
+    assert out.count() == len(rows) and out.columns == ["id", "ts", "label", "split"]
+    assert SM.temporal_split(df.limit(0), "ts", "id").count() == SM.stratified_split(df.limit(0), "label", "id").count() == 0
+
+
+def test_split_fingerprints(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, ""), (3, "")], "id long, v string")
+    a, b = df.filter("id < 3"), df.filter("id = 3")
+    assert ST.split_is_partition(df, a, b) and ST.split_is_partition(df, df, df.limit(0))
+    assert not ST.split_is_partition(df, a, df.filter("id >= 2")) and not ST.split_is_partition(df, a, b.limit(1))
+    assert not ST.split_is_partition(df, df.filter("id < 3").unionAll(b.limit(1)), b.limit(1))  # the same row on both sides
+    assert not ST.split_is_partition(df, a.withColumn("v", F.coalesce("v", F.lit("-"))), b)
+
+
 def test_global_rank_partition_invariant(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts")
     a = SM.global_rank(ev, [F.col("ts").asc(), F.col("event_id").asc()], "r", num_partitions=1)

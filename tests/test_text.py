@@ -1,5 +1,8 @@
 """Cleaning and gate cases (restated from the reference's unit tests)."""
 
+import html.entities
+import random
+
 from pyspark.sql import functions as F
 
 from parley.functions import text as tx
@@ -78,3 +81,17 @@ def test_at_most_words_matches_count(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     bad = docs.filter(tx.at_most_words(F.col("text"), 4) != (tx.word_count_raw(F.col("text")) <= 4)).count()
     assert bad == 0
+
+
+def test_references_as_html_reads_them(spark):
+    names = list(html.entities.html5)
+    rng = random.Random(1)
+    texts = [f"a&{n}b" for n in names] + [f"x&{n[:-1]};y&&amp" for n in names] + [f"&{n.rstrip(';')}zzz; &{n[:3]}" for n in names]
+    texts += [f"&#{k};" for k in range(300)] + [f"&#x{k:x} z" for k in range(300)]
+    texts += [f"&#{k}" for k in (55296, 57343, 57344, 64976, 65007, 65534, 65536, 128512, 1114109, 1114111, 1114112, 99999999, 10**20)]
+    texts += ["&#X1F600;", "&#0000000000065;", "&#;", "&#x;", "&# 65;", "&", "&&", "&;", "&amp;lt;", "& amp;", "", None, "&notit; &notin;", "&" + "a" * 40 + ";", "&#xg;", "&CounterClockwiseContourIntegral;"]
+    texts += ["".join(rng.choice(["&", "#", "x", "1", "amp", "lt", ";", " ", "not", "é", "<"]) for _ in range(12)) for _ in range(2000)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", tx.unescape_entities("t").alias("t"))
+    got = {r["k"]: r["t"] for r in df.collect()}
+    assert [got[k] for k in range(len(texts))] == [None if t is None else html.unescape(t) for t in texts]
+    assert "Python" not in df._jdf.queryExecution().toString()

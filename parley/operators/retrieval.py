@@ -11,12 +11,14 @@
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from parley.operators.sampling import bounded_rows
 
 OTHER = "other_support"
 
@@ -99,6 +101,44 @@ def dense_search(kb: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "v
     return top_k(part.withColumn("similarity", F.round("similarity", 9)), "qid", "similarity", "id", k)
 
 
+def embed(df: DataFrame, text_col: str, load, dim: int, out: str = "embedding", batch: int = 128) -> DataFrame:
+    """M6: ``df`` with a column ``out`` array<float>, the unit-length vector of every text (null as
+    empty) by the caller's model. ``load()`` is called once in every Python worker that gets rows and returns
+    a function from a list of at most ``batch`` texts to an array of one row of ``dim``
+    figures each; anything else raises. A zero vector stays zero."""
+    kept = df.drop(out)
+    names, place = kept.columns, kept.columns.index(text_col)
+
+    def run(batches):
+        model = None
+        for rows in batches:
+            texts = [x or "" for x in rows.column(place).to_pylist()]
+            model = model or load()
+            found = [np.zeros((0, dim), np.float32)]
+            for at in range(0, len(texts), batch):
+                some = texts[at:at + batch]
+                x = np.asarray(model(some), np.float64)
+                if x.shape != (len(some), dim):
+                    raise ValueError(f"the model gave {x.shape} for {len(some)} texts, not {(len(some), dim)}")
+                length = np.linalg.norm(x, axis=1, keepdims=True)
+                found.append((x / np.where(length > 0, length, 1)).astype(np.float32))
+            flat = np.concatenate(found)
+            vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * dim, pa.int32()), pa.array(flat.ravel()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, vectors], [*names, out])
+
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))]))
+
+
+def dense_index(kb: DataFrame, load, dim: int, id_col: str = "case_id", text_col: str = "customer_message",
+                max_cases: int | None = 15_000, seed: int = 42) -> DataFrame:
+    """M6: the knowledge base with ``embedding``; of a larger one the ``max_cases`` cases of least
+    hash (None: all). Cases without an intent get ``other_support``."""
+    if max_cases is not None:
+        kb = bounded_rows(kb, id_col, max_cases, seed)
+    kb = kb.withColumn("intent", F.coalesce("intent", F.lit(OTHER))) if "intent" in kb.columns else kb.withColumn("intent", F.lit(OTHER))
+    return embed(kb, text_col, load, dim)
+
+
 def label_centroids(df: DataFrame, label_col: str = "label", vec_col: str = "embedding") -> DataFrame:
     """Unit-length mean vector per label (partial/final aggregation, no explode):
     element-wise sums via ``Summarizer``, then L2 normalisation."""

@@ -33,6 +33,14 @@ def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame
     return df.withColumn("__h", hash_key(id_col, seed)).orderBy("__h", id_col).limit(n).drop("__h")
 
 
+def bounded_rows(df: DataFrame, id_col: str, most: int, seed: int = 42) -> DataFrame:
+    """All rows, or of a larger table the ``most`` rows of least hash (unique id): for bounds too
+    large for a top-n on the driver. The last row's hash is looked up, rows are kept where they lie."""
+    order = F.struct(hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
+    last = cut_rows(df, order, lambda n: F.least(n, F.lit(most))).select("bound").scalar()
+    return df.filter(F.coalesce(order <= last, F.lit(False)))
+
+
 def tail(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The last ``n`` rows in ascending ``order`` (a distributed top-n from the end)."""
     return df.orderBy(*[F.col(c).desc() for c in order]).limit(n).orderBy(*order)
@@ -68,9 +76,9 @@ def global_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank",
     return out.drop("__pid", "__mid", "__base", "__off")
 
 
-def cut_rows(df: DataFrame, order: Column, ratio: float, group: Column | None = None) -> DataFrame:
-    """(grp, bound): the row number floor(n * ratio) of every group in ascending ``order`` (one
-    orderable value, unique per row); no row where that number is 0. Only ``order`` and the group
+def cut_rows(df: DataFrame, order: Column, cut_of, group: Column | None = None) -> DataFrame:
+    """(grp, bound): of every group of n rows the one numbered ``cut_of(n)`` in ascending ``order``
+    (one orderable value, unique per row); no row where there is none. Only ``order`` and the group
     are dealt by range and staged; the counts per range and group tell which
     range holds the row, and rows are numbered within such ranges alone."""
     rows = df.select((F.lit(0) if group is None else group).alias("grp"), order.alias("bound"))
@@ -78,7 +86,7 @@ def cut_rows(df: DataFrame, order: Column, ratio: float, group: Column | None =
     of_group = Window.partitionBy("grp")
     counts = dealt.groupBy("range", "grp").agg(F.count(F.lit(1)).alias("here"))
     counts = counts.select("range", "grp", "here", F.coalesce(F.sum("here").over(of_group.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-                           F.floor(F.sum("here").over(of_group) * ratio).alias("cut"))
+                           cut_of(F.sum("here").over(of_group)).alias("cut"))
     held = counts.filter((F.col("before") < F.col("cut")) & (F.col("cut") <= F.col("before") + F.col("here")))
     held = held.select(F.col("range").alias("r"), F.col("grp").alias("g"), (F.col("cut") - F.col("before")).alias("place"))
     numbered = dealt.join(held, (F.col("range") == F.col("r")) & F.col("grp").eqNullSafe(F.col("g"))) \
@@ -92,7 +100,7 @@ def temporal_split(df: DataFrame, ts_col: str, key_col: str, ratio: float = 0.80
     the rest -> 'eval'. One row, the last of the first part, is looked up; ``df`` itself
     is neither shuffled nor staged."""
     order = F.struct(F.col(ts_col).isNull().alias("undated"), F.col(ts_col).alias("ts"), F.col(key_col).alias("key"))
-    last = cut_rows(df, order, ratio).select("bound").scalar()
+    last = cut_rows(df, order, lambda n: F.floor(n * ratio)).select("bound").scalar()
     return df.withColumn(split_col, F.when(F.coalesce(order <= last, F.lit(False)), F.lit("train")).otherwise(F.lit("eval")))
 
 
@@ -101,7 +109,7 @@ def stratified_split(df: DataFrame, label_col: str, id_col: str, ratio: float =
     """Per label, the first ``floor(n_label * ratio)`` rows by ``md5(seed||id)`` (unique id) ->
     'train'. A row meets its label's last training row, one per label."""
     order = F.struct(hash_key(id_col, seed).alias("h"), F.col(id_col).alias("id"))
-    last = cut_rows(df, order, ratio, F.col(label_col)).select(F.col("grp").alias("__label"), F.col("bound").alias("__last"))
+    last = cut_rows(df, order, lambda n: F.floor(n * ratio), F.col(label_col)).select(F.col("grp").alias("__label"), F.col("bound").alias("__last"))
     return (df.join(last, F.col(label_col).eqNullSafe(F.col("__label")), "left")
               .withColumn(split_col, F.when(F.coalesce(order <= F.col("__last"), F.lit(False)), F.lit("train")).otherwise(F.lit("test")))
               .drop("__label", "__last"))

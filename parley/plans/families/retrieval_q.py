@@ -178,3 +178,45 @@ def q_nearest_centroid_report(spark, d):
         pred.select("vec_id", F.col("predicted").cast("string").alias("p")), "vec_id")
     r = M.class_report(j, "y", "p")
     return r.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support", "predicted")
+
+
+EMBED_DIM = 16
+
+
+def word_length_model():
+    """A stand-in for a sentence encoder: words counted by their length."""
+    import numpy as np
+
+    def encode(texts):
+        out = np.zeros((len(texts), EMBED_DIM))
+        for k, text in enumerate(texts):
+            for word in text.split(" "):
+                if word:
+                    out[k, len(word) % EMBED_DIM] += 1
+        return out
+
+    return encode
+
+
+def _embed_sql(e: str) -> str:
+    words = f"list_transform(list_filter(string_split(coalesce({e}, ''), ' '), lambda w: w <> ''), lambda w: length(w) % {EMBED_DIM})"
+    counts = f"list_transform(range({EMBED_DIM}), lambda i: len(list_filter({words}, lambda x: x = i))::DOUBLE)"
+    return f"list_transform(list_transform([{counts}], lambda c: list_transform(c, lambda y: (y / CASE WHEN list_sum(list_transform(c, lambda z: z * z)) > 0 THEN sqrt(list_sum(list_transform(c, lambda z: z * z))) ELSE 1 END)::FLOAT))[1], lambda y: y::DOUBLE)"
+
+
+MAX_CASES = 700
+
+
+@query("embedded_search", sql=f"""
+WITH kb AS (SELECT doc_id AS id, {_embed_sql('text')} AS v FROM documents ORDER BY md5('42' || CAST(doc_id AS VARCHAR)), doc_id LIMIT {MAX_CASES}),
+s AS (SELECT b.item_id AS qid, kb.id, round(list_dot_product({_embed_sql('b.text')}, kb.v), 9) AS similarity FROM benchmark b, kb),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY similarity DESC, id) AS INTEGER) AS rank FROM s)
+SELECT qid, id, round(similarity, 6) AS similarity, rank FROM r WHERE rank <= 3""")
+def q_embedded_search(spark, d):
+    """Documents indexed by a supplied embedding function, at most MAX_CASES of them by
+    hash (the index's own bound), and the 3 nearest of every benchmark item."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    index = RT.dense_index(docs, word_length_model, EMBED_DIM, "doc_id", "text", MAX_CASES)
+    asked = RT.embed(table(spark, d, "benchmark").select("item_id", "text"), "text", word_length_model, EMBED_DIM, "qvec")
+    r = RT.dense_search(index, asked, 3, "doc_id", "embedding", "item_id", "qvec")
+    return r.select("qid", "id", F.round("similarity", 6).alias("similarity"), "rank")

@@ -1,5 +1,6 @@
 """Search: block-by-block query processing gives the single-block answer."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from parley.operators import features as FT
@@ -41,3 +42,22 @@ def test_intent_rerank_prefers_matching_intent(spark):
     r = {(x["qid"], x["final_rank"]): x["id"] for x in RT.intent_rerank(c, "q_intent", "kb_intent", 2).collect()}
     assert r[(1, 1)] == 11 and r[(1, 2)] == 12          # matches first, then by similarity
     assert r[(2, 1)] == 10                              # 'other' queries keep the global order
+
+
+def test_embedder(spark):
+    def letters():
+        return lambda texts: [[t.count("a"), t.count("b")] for t in texts]
+
+    df = spark.createDataFrame([(1, "aab", 1), (2, None, 2), (3, "b" * 10, 3), (1, "aab", 1)], "id long, text string, embedding int")
+    rows = RT.embed(df, "text", letters, 2, batch=2).collect()
+    got = sorted((r["id"], [round(x, 4) for x in r["embedding"]]) for r in rows)
+    assert got == [(1, [0.8944, 0.4472])] * 2 + [(2, [0.0, 0.0]), (3, [0.0, 1.0])]
+    assert RT.embed(df.limit(0), "text", letters, 2).count() == 0
+    with pytest.raises(Exception, match="the model gave"):
+        RT.embed(df, "text", letters, 3).collect()
+    kb = spark.range(50).selectExpr("id AS case_id", "repeat('a', cast(id AS int)) AS customer_message", "CASE WHEN id % 2 = 0 THEN 'x' END AS intent")
+    index = RT.dense_index(kb.repartition(4), letters, 2, max_cases=20)
+    small = {r["case_id"]: r["intent"] for r in index.collect()}
+    assert len(small) == 20 and small == {r["case_id"]: r["intent"] for r in RT.dense_index(kb, letters, 2, max_cases=20).collect()}
+    assert all(v == ("x" if k % 2 == 0 else "other_support") for k, v in small.items())
+    assert RT.dense_index(kb, letters, 2, max_cases=None).count() == RT.dense_index(kb, letters, 2).count() == 50

@@ -48,6 +48,34 @@ def q_stream_pair_replies(spark, d):
     return SS.pair_stream(spark, path, msgs.schema)
 
 
+IN_TIME = "support_ts >= customer_ts AND support_ts <= customer_ts + INTERVAL 7 DAY"
+
+
+@query("stream_paired_on_arrival", sql=f"""
+WITH {S.PAIRS_CTE.replace("WHERE " + S.reason("customer_message", "support_response"), "WHERE " + IN_TIME + " AND " + S.reason("customer_message", "support_response"))}
+SELECT case_id, brand, customer_message, support_response, support_created_at FROM pairs""")
+def q_stream_paired_on_arrival(spark, d):
+    """ST3: what the stream alone pairs, without any batch pass (stateful join and dedupe)."""
+    root = SS.stream_root(spark, "arrivals-input")
+    msgs = messages(spark, d, with_responses=False)
+    path = SS.materialize(msgs, f"{root}/messages")
+    out = SS.paired_on_arrival(spark, path, msgs.schema)
+    return out.select("case_id", "brand", "customer_message", "support_response", "support_created_at")
+
+
+@query("stream_unanswered", sql=f"""
+WITH {S.PAIRS_CTE},
+mark AS (SELECT least((SELECT max(customer_ts) FROM cus), (SELECT max(support_ts) FROM rep)) - INTERVAL 1 DAY AS seen)
+SELECT customer_tweet_id, customer_author_id FROM cus, mark
+WHERE customer_ts + INTERVAL 7 DAY < seen AND NOT EXISTS (SELECT 1 FROM rep WHERE rep.parent_id = cus.customer_tweet_id AND {IN_TIME})""")
+def q_stream_unanswered(spark, d):
+    """ST3/J2: messages without a reply in time, emitted when the watermark has passed their bound."""
+    root = SS.stream_root(spark, "unanswered-input")
+    msgs = messages(spark, d, with_responses=False)
+    path = SS.materialize(msgs, f"{root}/messages")
+    return SS.unanswered_stream(spark, path, msgs.schema).select("customer_tweet_id", "customer_author_id")
+
+
 @query("stream_score_messages", sql=f"""WITH {SCORE_CTE}
 SELECT msg_id, intent, confidence, intent_source, top_case, round(evidence_strength, 6) AS evidence_strength,
        CAST(n_evidence AS INTEGER) AS n_evidence, reply, reply_mode,

@@ -9,7 +9,7 @@ from parley.operators import pairs as P
 from parley.operators import profile as PR
 from parley.plans import sqltext as S
 from parley.plans.registry import query
-from parley.sources.tables import messages, table, thread_view
+from parley.sources.tables import messages, table, thread_view, typed_messages
 
 # Parameters of the brand comparison (a caller's notes table).
 BRAND_NOTES = [("brand0", "largest queue"), ("brand1", "second queue"), ("brand2", "weekday team"),
@@ -60,6 +60,47 @@ def q_pair_rejects(spark, d):
     return P.reject_report(messages(spark, d, with_responses=False))
 
 
+# The conversations three times: as they are, once more under later ids (every text pair has a copy),
+# and with texts that fail each test of the gate, by the conversation's number.
+SPOILT_USER = {0: "", 1: "@brand <br>", 2: "hi", 3: "é è à ü"}
+SPOILT_AGENT = {4: "", 5: "ok"}
+
+
+def varied_conversations(spark, d):
+    c = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    spoilt = F.col("text")
+    for role, texts in (("user", SPOILT_USER), ("assistant", SPOILT_AGENT)):
+        for k, text in texts.items():
+            spoilt = F.when((F.col("role") == role) & (F.col("conv_id") % 6 == k), F.lit(text)).otherwise(spoilt)
+    return (c.unionAll(c.select(F.col("conv_id") + 1_000_000, "turn", "role", "text"))
+            .unionAll(c.select(F.col("conv_id") + 2_000_000, "turn", "role", spoilt)))
+
+
+def _varied_sql(ctes: str) -> str:
+    spoilt = " ".join(f"WHEN role = '{role}' AND conv_id % 6 = {k} THEN {S.q(text)}" for role, texts in (("user", SPOILT_USER), ("assistant", SPOILT_AGENT)) for k, text in texts.items())
+    return f"""cv AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT conv_id + 1000000, turn, role, text FROM conversations
+  UNION ALL SELECT conv_id + 2000000, turn, role, CASE {spoilt} ELSE text END FROM conversations), {ctes.replace("conversations", "cv")}"""
+
+
+@query("pair_varied", sql=f"""
+WITH {_varied_sql(S.PAIRS_CTE)}
+SELECT case_id, brand, customer_message, support_response, created_at FROM pairs""")
+def q_pair_varied(spark, d):
+    """Pairs of conversations of which every one is there twice and a third time with
+    spoilt texts: each text pair is kept once, its earliest."""
+    msgs = typed_messages(thread_view(varied_conversations(spark, d), with_responses=False))
+    return P.pair_replies(msgs).select("case_id", "brand", "customer_message", "support_response", "created_at")
+
+
+@query("pair_varied_rejects", sql=f"""
+WITH {_varied_sql(f"tv AS ({S.THREAD_VIEW}), rep AS ({S.REPLIES}), cus AS ({S.CUSTOMERS})")}
+SELECT {S.reason('customer_message', 'support_response')} AS reason, count(*) AS n_pairs
+FROM rep JOIN cus ON rep.parent_id = cus.customer_tweet_id GROUP BY 1""")
+def q_pair_varied_rejects(spark, d):
+    """Every outcome of the gate over the same conversations."""
+    return P.reject_report(typed_messages(thread_view(varied_conversations(spark, d), with_responses=False)))
+
+
 @query("unanswered_messages", sql=f"""
 WITH tv AS ({S.THREAD_VIEW})
 SELECT tweet_id AS customer_tweet_id, author_id AS customer_author_id FROM tv c

@@ -9,9 +9,14 @@
   written per batch id and the latest version of each window wins on read.
 * ``running_totals``   -- ST2: unbounded-time counters per key (complete mode;
   state = one row per key).
-* ``pair_stream``      -- ST3: replies joined to their parent messages on
+* ``paired_on_arrival`` -- ST3: replies joined to their parent messages on
   arrival: a stream-stream inner join with watermarks on both sides and a
-  time bound, written with the fault-tolerant file sink.
+  time bound, then stateful keep-first dedupe of equal text pairs within the
+  watermark, written with the fault-tolerant file sink.
+* ``unanswered_stream`` -- ST3: the outer form of that join: a message is emitted once
+  the watermark says that no reply in time can come any more.
+* ``pair_stream``      -- the pairs found on arrival and, beside them, what bounded
+  state cannot hold.
 
 All sinks and checkpoints live under the cluster's reliable checkpoint folder
 (``spark.checkpoint.dir``), never on a machine-local path.
@@ -40,13 +45,16 @@ def materialize(df: DataFrame, path: str) -> str:
     return path
 
 
-def file_stream(spark: SparkSession, source: str, schema) -> DataFrame:
+def file_stream(spark: SparkSession, source: str, schema, files_per_batch: int | None = None) -> DataFrame:
     """File-source stream over a Parquet table, be it a folder of part files or one
-    file. The source takes a plain path for a folder's base, so a table that may be a
-    single file is named by a pattern that matches just it."""
+    file; ``files_per_batch`` bounds a micro-batch. The source takes a plain path for a folder's
+    base, so a table that may be a single file is named by a pattern that matches just it."""
     if source.endswith(".parquet"):
         source = source[:-1] + "[t]"
-    return spark.readStream.schema(schema).parquet(source)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(source)
 
 
 def _run(writer, available_now: bool = True):
@@ -124,31 +132,62 @@ def _gated(j: DataFrame) -> DataFrame:
         "support_response", "support_raw_text", "created_at", "support_created_at", "customer_ts", "support_ts")
 
 
-def pair_stream(spark: SparkSession, messages_path: str, schema, brand: str | None = None,
-                watermark: str = "1 day", max_delay: str = "7 days", root: str | None = None) -> DataFrame:
-    """Stream-stream pairing of replies with parents; both sides carry a watermark
-    and the join has an event-time bound, so state is dropped once the watermark
-    passes ``parent time + max_delay``. Pairs that the bounded state cannot hold (no
-    parseable time, replies before their parent or after the bound, rows behind the
-    watermark) are found by ``late_pairs`` over the stored messages, so none is lost."""
+def _sides(spark: SparkSession, messages_path: str, schema, brand: str | None, watermark: str, files_per_batch: int | None):
+    msgs = file_stream(spark, messages_path, schema, files_per_batch)
+    return P.brand_replies(msgs, brand).withWatermark("support_ts", watermark), P.customer_messages(msgs).withWatermark("customer_ts", watermark)
+
+
+def _in_time(max_delay: str):
+    return F.expr(f"""parent_id = customer_tweet_id AND support_ts >= customer_ts
+                      AND support_ts <= customer_ts + interval {max_delay}""")
+
+
+def paired_on_arrival(spark: SparkSession, messages_path: str, schema, brand: str | None = None, watermark: str = "1 day",
+                      max_delay: str = "7 days", root: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """The stream's own pairs: replies within ``max_delay`` of their parent, gated, the first to
+    arrive of equal text pairs within the watermark. Join state is dropped once the watermark
+    passes ``parent time + max_delay``, a text pair's mark once it passes the pair's own time by ``watermark``."""
     root = root or stream_root(spark, "pairs")
-    msgs = file_stream(spark, messages_path, schema)
-    r = P.brand_replies(msgs, brand).withWatermark("support_ts", watermark)
-    c = P.customer_messages(msgs).withWatermark("customer_ts", watermark)
-    j = r.join(c, F.expr(f"""parent_id = customer_tweet_id AND support_ts >= customer_ts
-                              AND support_ts <= customer_ts + interval {max_delay}"""), "inner")
-    out = _gated(j)
+    r, c = _sides(spark, messages_path, schema, brand, watermark, files_per_batch)
+    # one event time goes on to the dedupe: the reply's
+    joined = _gated(r.join(c, _in_time(max_delay), "inner")).withColumn("customer_ts", F.expr("customer_ts + interval 0 seconds"))
+    # a digest of fixed size is the state's key, not the texts
+    marked = joined.withColumn("digest", F.sha2(F.concat(F.length("customer_message").cast("string"), F.lit(":"), "customer_message", "support_response"), 256))
+    out = marked.dropDuplicatesWithinWatermark(["digest"]).drop("digest")
     _run(out.writeStream.format("parquet").option("path", f"{root}/out")
             .option("checkpointLocation", f"{root}/ckpt").outputMode("append"))
-    paired = spark.read.schema(out.schema).parquet(f"{root}/out")
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+def unanswered_stream(spark: SparkSession, messages_path: str, schema, brand: str | None = None, watermark: str = "1 day",
+                      max_delay: str = "7 days", root: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """J2 on arrival: (customer_tweet_id, customer_author_id, customer_ts) of messages that got no
+    reply within ``max_delay``, each emitted once the watermark has passed that bound; messages that
+    may still be answered are in the state."""
+    root = root or stream_root(spark, "unanswered")
+    r, c = _sides(spark, messages_path, schema, brand, watermark, files_per_batch)
+    asked = c.select("customer_tweet_id", "customer_author_id", "customer_ts")
+    told = r.select("parent_id", "support_tweet_id", "support_ts")
+    out = asked.join(told, _in_time(max_delay), "leftOuter").filter("support_tweet_id IS NULL").select(*asked.columns)
+    _run(out.writeStream.format("parquet").option("path", f"{root}/out")
+            .option("checkpointLocation", f"{root}/ckpt").outputMode("append"))
+    return spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+def pair_stream(spark: SparkSession, messages_path: str, schema, brand: str | None = None, watermark: str = "1 day",
+                max_delay: str = "7 days", root: str | None = None, files_per_batch: int | None = None) -> DataFrame:
+    """``paired_on_arrival`` and the pairs that its bounded state cannot hold (no parseable time,
+    replies before their parent or after the bound, rows behind the watermark), which ``late_pairs``
+    finds over the stored messages, so none is lost; the earliest of equal text pairs is kept."""
+    paired = paired_on_arrival(spark, messages_path, schema, brand, watermark, max_delay, root, files_per_batch)
     late = late_pairs(spark.read.schema(schema).parquet(messages_path), paired, brand)
-    # keep-first per cleaned text pair over everything matched so far (batch semantics)
     return P.keep_first(paired.unionByName(late))
 
 
 def late_pairs(msgs: DataFrame, paired: DataFrame, brand: str | None = None) -> DataFrame:
     """Links between stored messages that are not among the ``paired`` ones: the side
-    output for late and undated rows, to be run from time to time beside the stream."""
+    output for late and undated rows (and later copies of a text pair), to be run from time to
+    time beside the stream."""
     links = P.brand_replies(msgs, brand).join(P.customer_messages(msgs), F.col("parent_id") == F.col("customer_tweet_id"))
     done = paired.select("customer_tweet_id", "support_tweet_id")
     return _gated(links.join(done, ["customer_tweet_id", "support_tweet_id"], "anti"))

@@ -261,6 +261,36 @@ You should have received a copy of the GNU General Public License along with thi
 for _rule in ("mit", "gpl-3", "bsd"):
     WRAPPED[{"bsd": "bsd-mention"}.get(_rule, _rule + "-grant")] = WRAPPED[_rule + "-full"].split("\n\n")[0]
 
+PUBLISHED = "under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+HOPE = "This {} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {}General Public License for more details."
+RECEIVED = "You should have received a copy of the GNU {}General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."
+FREE = "This {} is free software; you can redistribute it and/or modify it "
+BINARY = "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+WRAPPED |= {
+    "apache-2-body": WRAPPED["apache-2-full"] + """
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    "gpl-2-full": "\n\n".join([FREE.format("program") + PUBLISHED.format("", "2"), HOPE.format("program", ""), RECEIVED.format("")]),
+    "gpl-2-grant": FREE.format("program") + PUBLISHED.format("", "2"),
+    "gpl-2-only-grant": FREE.format("program") + "under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "gpl-2-mention": "This work is licensed under the GNU General Public License, version 2.",
+    "lgpl-2-1-full": "\n\n".join([FREE.format("library") + PUBLISHED.format("Lesser ", "2.1"), HOPE.format("library", "Lesser ")]),
+    "lgpl-2-1-grant": FREE.format("library") + PUBLISHED.format("Lesser ", "2.1"),
+    "lgpl-3-full": "\n\n".join([FREE.format("library") + PUBLISHED.format("Lesser ", "3"), HOPE.format("library", "Lesser ")]),
+    "lgpl-3-grant": FREE.format("library") + PUBLISHED.format("Lesser ", "3"),
+    "agpl-3-full": "\n\n".join([FREE.format("program").replace(";", ":") + PUBLISHED.format("Affero ", "3"), HOPE.format("program", "Affero "), RECEIVED.format("Affero ")]),
+    "agpl-3-grant": FREE.format("program").replace(";", ":") + PUBLISHED.format("Affero ", "3"),
+    "isc-full": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "bsd-2-full": WRAPPED["bsd-full"] + "\n\n" + BINARY,
+    "bsd-3-full": WRAPPED["bsd-full"] + "\n\n" + BINARY + "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "bsd-3-mention": "Licensed under the BSD 3-Clause License.", "bsd-2-mention": "Licensed under the BSD 2-Clause License.",
+    "epl-2-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "epl-1-notice": "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html",
+    "cc0-waiver": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.", "cc0-mention": "Licensed under CC0 1.0.",
+    **{rule: f"SPDX-License-Identifier: {name}" for rule, name in (("mit-spdx", "MIT"), ("apache-2-spdx", "Apache-2.0"), ("gpl-2-spdx", "GPL-2.0-only"), ("gpl-3-spdx", "GPL-3.0-or-later"), ("isc-spdx", "ISC"),
+                                                                  ("bsd-3-spdx", "BSD-3-Clause"), ("bsd-2-spdx", "BSD-2-Clause"), ("mpl-2-spdx", "MPL-2.0"), ("epl-2-spdx", "EPL-2.0"), ("cc0-spdx", "CC0-1.0"))},
+}
+
 
 @pytest.mark.parametrize("width", [12, 40, 72, 10_000])
 def test_licenses_in_wrapped_text(spark, width):
@@ -274,5 +304,10 @@ def test_licenses_in_wrapped_text(spark, width):
     docs = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
     got = {r["doc_id"]: r["rules"] for r in licenses.scan(docs).collect()}
     assert [(k, got[n]) for n, k in enumerate(texts) if got[n] != k[0]] == []
+    with duckdb.connect() as c:
+        c.register("documents", docs.toPandas())
+        want = c.execute(licenses.oracle_sql()).fetchall()
+    names = ["doc_id", "n_sentences", "sentences", "rules", "licenses"]
+    assert sorted(want) == sorted(tuple(r[n] for n in names) for r in licenses.scan(docs).collect())
     apart = spark.createDataFrame([(0, "Released under\n\nthe MIT License."), (1, "Released under. the MIT License."), (2, "not released\nunder the MIT License")], "doc_id long, text string")
     assert {r["rules"] for r in licenses.scan(apart).collect()} == {""}

@@ -156,13 +156,14 @@ def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vec_col:
         return pd.concat(found).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k)
 
     def round_of(asking: DataFrame, second: bool) -> DataFrame:
-        seen = (asking.mapInPandas(lambda frames: visits(frames, second), "id long, vec array<double>, dim int, floor double, pivot int, rings long, chunks int")
-                .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-                .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
+        key = ["dim", "pivot", "chunk", "block"]
+        seen = stage(asking.mapInPandas(lambda frames: visits(frames, second), "id long, vec array<double>, dim int, floor double, pivot int, rings long, chunks int")
+                     .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+                     .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))), "topk-visits")
+        # a chunk is sent to the blocks of queries that visit it, to no others
         pieces = keyed.select("id", "vec", "dim", "pivot", "ring").join(F.broadcast(chunk_counts), ["dim", "pivot"]) \
             .withColumn("chunk", F.pmod(F.xxhash64("id", "vec"), F.col("chunks")).cast("int")) \
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        key = ["dim", "pivot", "chunk", "block"]
+            .join(seen.select(*key).distinct().toDF(*key), ["dim", "pivot", "chunk"])
         return seen.groupBy(*key).cogroup(pieces.groupBy(*key)).applyInPandas(search, "query_id long, vec_id long, score double")
 
     spark = vectors.sparkSession

@@ -183,3 +183,41 @@ def test_short_repeats_of_one_line_stay(spark):
     rows = [(k, f"unlike {k}\nHeading\n\nother {k}\n{'w ' * 50}\nlast {k}") for k in range(6)]
     got = linechunks.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), divisor=1 << 30).collect()
     assert sorted((r["doc_id"], r["text"]) for r in got) == rows
+
+
+def repeated_runs(rows):
+    """(text left, lines gone) of every row from the definition alone: of equal pairs of successive
+    lines that are not blank (the blank ones between included) and of equal lines of over 50
+    words, all but the first occurrence go."""
+    units = []  # (id, place, lines, text)
+    for i, t in rows:
+        lines = t.split("\n")
+        full = [k for k in range(len(lines)) if lines[k].strip()]
+        for a, b in zip(full, full[1:]):
+            units.append((i, a, range(a, b + 1), "\n".join(lines[a:b + 1])))
+        units += [(i, a, range(a, a + 1), lines[a]) for a in full if len(lines[a].split()) > 50]
+    first = {}
+    for i, a, _, body in sorted(units, key=lambda u: u[:2]):
+        first.setdefault(body, (i, a))
+    gone = {i: set() for i, _ in rows}
+    for i, a, span, body in units:
+        if first[body] != (i, a):
+            gone[i].update(span)
+    return {i: ("\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]), len(gone[i])) for i, t in rows}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeats_from_the_definition(spark, seed):
+    rng = np.random.default_rng(seed)
+    stock = [f"line {k}" for k in range(25)] + ["", "  ", "w " * 60, "v " * 55]
+    rows = [(k, "\n".join([f"start {k}", *(stock[j] for j in rng.integers(0, len(stock), rng.integers(0, 14))), f"end {k}"])) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = repeated_runs(rows)
+    assert sum(n for _, n in want.values()) > 50
+    got = {r["doc_id"]: (r["text"], r["removed_lines"]) for r in linechunks.remove_repeats(docs, divisor=1 << 60).collect()}
+    assert got == want
+    # the rolling hash's own chunks (a line with the blank ones beside it) come on top: nothing of the above stays
+    for r in linechunks.remove_repeats(docs).collect():
+        text, gone = want[r["doc_id"]]
+        left = iter(text.split("\n"))
+        assert r["removed_lines"] >= gone and all(x in left for x in r["text"].split("\n"))

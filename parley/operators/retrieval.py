@@ -1,9 +1,8 @@
 """Exact nearest-neighbour search and intent-first rerank.
 
-* Sparse (TF-IDF cosine): an equi-join on ``term`` between the knowledge-base
-  weights and a broadcast block of query weights (row count checked, blocks
-  above the limit processed one after another), ``sum(wq * wd)`` per (query,
-  case) with map-side partial sums, then a per-query top-k.
+* Sparse (TF-IDF cosine): blocks of queries meet blocks of the KB in cogroups; each is
+  an inverted index whose posting blocks carry their largest weights, so that
+  queries skip blocks below their k-th score; then a per-query top-k.
 * Dense (inner product on unit vectors): blocks of queries meet blocks of the KB
   in cogroups; each is one matrix product that keeps a top-k per query, so only
   k rows per query and block leave a group.
@@ -19,37 +18,117 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parley.operators.sampling import bounded_rows
+from parley.operators.util import range_count
 
 OTHER = "other_support"
 
 
 def sparse_search(kb_weights: DataFrame, q_weights: DataFrame, k: int = 3, digits: int | None = None,
-                  max_block_rows: int = 200_000, q_rows_bound: int | None = None) -> DataFrame:
-    """Top-k cases per query by cosine of L2-normalised TF-IDF vectors.
+                  kb_blocks: int | None = None, query_blocks: int = 1, postings: int = 512) -> DataFrame:
+    """Top-k cases per query by cosine of L2-normalised TF-IDF vectors (weights above zero).
 
     kb_weights(id, term, weight), q_weights(qid, term, weight) ->
     (qid, id, similarity, rank). ``digits`` rounds scores before ranking so exact
-    duplicates tie regardless of summation order.
-
-    The query weights are always broadcast, in blocks that average ``max_block_rows``
-    rows (their number is counted first): each KB row then meets at most one block's
-    queries for its term, so a hot term never turns into a task holding every
-    (query, case) pair. Blocks are disjoint sets of queries, so each block's top-k
-    is final and the results are unioned. ``q_rows_bound`` (e.g. the query-side
-    term-count rows, which need no vocabulary) spares counting the weights, whose
-    computation would pull the knowledge-base vocabulary into an extra job."""
-    q = q_weights.select("qid", "term", F.col("weight").alias("wq"))
-    n_rows = q_rows_bound if q_rows_bound is not None else q.count()
-    blocks = max(1, -(-n_rows // max_block_rows))
-    out = None
-    for b in range(blocks):   # a loop over query blocks, each one distributed scan of the KB
-        qb = q if blocks == 1 else q.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
-        sim = F.sum(F.col("weight") * F.col("wq"))
-        scores = (kb_weights.join(F.broadcast(qb), "term")
-                            .groupBy("qid", "id").agg((F.round(sim, digits) if digits else sim).alias("similarity")))
-        res = top_k(scores, "qid", "similarity", "id", k)
-        out = res if out is None else out.unionByName(res)
-    return out
+    duplicates tie regardless of summation order; cases that share no term are not found.
+
+    The knowledge base is dealt by case into ``kb_blocks`` (default: the session's shuffle
+    partitions, so a block is what a task holds anyway), the queries into ``query_blocks``
+    (a block's term rows must fit a task: more than one for batches of over some 100,000
+    queries); every pair of blocks is a group, in one plan whatever the sizes are. A hot term's
+    postings are thereby split by case. A group is an inverted index of its cases:
+    see ``_search_block``; k rows per query leave it."""
+    kb_blocks = kb_blocks or range_count(kb_weights)
+    left = (q_weights.select("qid", "term", F.col("weight").cast("double").alias("wq")).withColumn("b", F.pmod(F.xxhash64("qid"), F.lit(query_blocks)).cast("int"))
+            .withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(kb_blocks - 1)))))
+    right = (kb_weights.select("id", "term", F.col("weight").cast("double").alias("weight")).withColumn("c", F.pmod(F.xxhash64("id"), F.lit(kb_blocks)).cast("int"))
+             .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
+    kinds = q_weights.schema["qid"].dataType.simpleString(), kb_weights.schema["id"].dataType.simpleString()
+
+    def best(q: pa.Table, d: pa.Table) -> pa.Table:
+        i, j, score = _search_block(q, d, k, digits, postings)
+        return pa.table({"qid": q.column("qid").take(pa.array(i)), "id": d.column("id").take(pa.array(j)), "similarity": pa.array(score)})
+
+    found = left.groupBy("b", "c").cogroup(right.groupBy("b", "c")).applyInArrow(best, f"qid {kinds[0]}, id {kinds[1]}, similarity double")
+    return top_k(found, "qid", "similarity", "id", k)
+
+
+def _codes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each row's value by first appearance, a row of each value)."""
+    coded = column.combine_chunks().dictionary_encode()
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    return codes, np.unique(codes, return_index=True)[1]
+
+
+def _search_block(q: pa.Table, d: pa.Table, k: int, digits: int | None, postings: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ``q``, row of ``d``, score) of the best ``k`` cases of a block for its queries.
+
+    Cases are ordered by their heaviest term and cut into posting blocks of ``postings`` cases;
+    each term's largest weight in a block bounds what the block's cases can score. Blocks are
+    visited in the order of their bounds, for the queries alone that they may still improve:
+    a block below a query's k-th score is skipped (one that equals it is not: ties)."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    if not q.num_rows or not d.num_rows:
+        return none
+    terms = pa.chunked_array([*q.column("term").chunks, *d.column("term").chunks]).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    qt, dt = terms[:q.num_rows].astype(np.int64), terms[q.num_rows:].astype(np.int64)
+    (qi, q_row), (di, d_row) = _codes(q.column("qid")), _codes(d.column("id"))
+    wq, wd = q.column("wq").to_numpy(), d.column("weight").to_numpy()
+    n_q, n_d = len(q_row), len(d_row)
+    # ties go to the smaller id: cases are numbered by their place among the sorted ids
+    place = np.empty(n_d, np.int64)
+    place[np.argsort(d.column("id").take(pa.array(d_row)).to_numpy(zero_copy_only=False), kind="stable")] = np.arange(n_d)
+    heaviest = np.lexsort((wd, di))[np.searchsorted(np.sort(di, kind="stable"), np.arange(n_d), side="right") - 1]
+    block = np.empty(n_d, np.int64)
+    block[np.lexsort((place, dt[heaviest]))] = np.arange(n_d) // postings
+    order = np.lexsort((place[di], dt, block[di]))
+    di, dt, wd = di[order], dt[order], wd[order]
+    key = block[di] * (terms.max() + 1) + dt  # postings in the order of (block, term)
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    top = np.maximum.reduceat(wd, heads)
+    n_blocks, width = int(block.max()) + 1, int(terms.max()) + 1
+
+    def meet(rows: np.ndarray, b: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query row, place in ``keys``) of all entries of block ``b`` that have the rows' terms."""
+        want = b * width + qt[rows]
+        lo, hi = np.searchsorted(keys, want, side="left"), np.searchsorted(keys, want, side="right")
+        n = hi - lo
+        return np.repeat(rows, n), np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+    bound = np.zeros((n_q, n_blocks))
+    everything = np.arange(len(qt))
+    for b in range(n_blocks):
+        rows, at = meet(everything, b, key[heads])
+        bound[:, b] = np.bincount(qi[rows], wq[rows] * top[at], n_q)
+    slack = 1e-9 + (0.5 * 10.0 ** -digits if digits is not None else 0)
+    best_score, found = np.full((n_q, k), -np.inf), []
+    for b in np.argsort(-bound.max(axis=0), kind="stable"):
+        live = (bound[:, b] > 0) & (bound[:, b] * (1 + 1e-12) + slack >= best_score[:, -1])
+        if not live.any():
+            continue
+        cases = np.flatnonzero(block == b)
+        cases = cases[np.argsort(place[cases])]
+        local = np.zeros(n_d, np.int64)
+        local[cases] = np.arange(len(cases))
+        slot = np.cumsum(live) - 1
+        rows, at = meet(everything[live[qi]], b, key)
+        score = np.bincount(slot[qi[rows]] * len(cases) + local[di[at]], wq[rows] * wd[at], int(live.sum()) * len(cases)).reshape(-1, len(cases))
+        asked = np.flatnonzero(live)
+        if digits is not None:
+            score = np.round(score, digits)
+        least = np.partition(score, -k, axis=1)[:, -k] if len(cases) > k else np.zeros(len(asked))
+        i, j = np.nonzero((score > 0) & (score >= np.maximum(least, best_score[asked, -1])[:, None]))
+        found.append((asked[i], cases[j], score[i, j]))
+        own = np.sort(score, axis=1)[:, ::-1][:, :k]
+        own = np.where(own > 0, own, -np.inf)
+        best_score[asked] = -np.sort(-np.concatenate([best_score[asked], own], axis=1), axis=1)[:, :k]
+    if not found:
+        return none
+    i, j, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((place[j], -score, i))
+    i, j, score = i[order], j[order], score[order]
+    rank = np.arange(len(i)) - np.searchsorted(i, i, side="left")
+    keep = rank < k
+    return q_row[i[keep]], d_row[j[keep]], score[keep]
 
 
 def top_k(scores: DataFrame, qid: str, score: str, key: str, k: int, rank_col: str = "rank") -> DataFrame:

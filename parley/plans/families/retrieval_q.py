@@ -100,7 +100,7 @@ def _sparse_candidates(spark, d, k):
     bench = table(spark, d, "benchmark").select("item_id", "text")
     qtf = FT.term_counts(bench, "item_id", "text", RETRIEVAL)
     qw = FT.transform(qtf, vocab, RETRIEVAL).withColumnRenamed("id", "qid")
-    return RT.sparse_search(w, qw, k, digits=9, q_rows_bound=qtf.count())
+    return RT.sparse_search(w, qw, k, digits=9)
 
 
 SPARSE_SQL = f"""{_tfidf_sql('SELECT doc_id AS id, text FROM documents', RETRIEVAL, None, 'kb')},
@@ -115,7 +115,7 @@ rk AS (SELECT *, CAST(row_number() OVER (PARTITION BY qid ORDER BY similarity DE
 @query("sparse_search", sql=f"""WITH {SPARSE_SQL}
 SELECT qid, id, round(similarity, 6) AS similarity, rank FROM rk WHERE rank <= 3""")
 def q_sparse_search(spark, d):
-    """Top-3 documents per benchmark item by TF-IDF cosine (term equi-join)."""
+    """Top-3 documents per benchmark item by TF-IDF cosine (inverted index with block bounds)."""
     r = _sparse_candidates(spark, d, 3)
     return r.select("qid", "id", F.round("similarity", 6).alias("similarity"), "rank")
 

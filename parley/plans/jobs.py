@@ -5,8 +5,7 @@
              -> reply -> escalation -> judge -> metrics
 
 Every step is a DataFrame transformation; the driver only plans. The only
-actions inside are scalar counts (split cut-off, query block size) and the
-per-partition offsets of the exact split.
+actions inside are the narrow staged tables of the exact split and of the reports.
 """
 
 from __future__ import annotations
@@ -36,6 +35,7 @@ RETRIEVAL_SPEC = FT.TfidfSpec(n_min=1, n_max=2, min_df=1, max_features=None, sub
 class ScoringConfig:
     candidate_k: int = 50
     top_k: int = 3
+    query_blocks: int = 1
     spec: FT.TfidfSpec = RETRIEVAL_SPEC
     policy: R.EscalationPolicy = R.EscalationPolicy()
     heuristic_rules: tuple = tuple(R.HEURISTIC_RULES)
@@ -65,7 +65,7 @@ def retrieve(messages: DataFrame, kb: DataFrame, index, cfg: ScoringConfig = Sco
     kbw, vocab = index
     qtf = FT.term_counts(messages.select("msg_id", F.col("clean_message")), "msg_id", "clean_message", cfg.spec)
     qw = FT.transform(qtf, vocab, cfg.spec).withColumnRenamed("id", "qid")
-    cands = RT.sparse_search(kbw, qw, cfg.candidate_k, digits=9, q_rows_bound=qtf.count())
+    cands = RT.sparse_search(kbw, qw, cfg.candidate_k, digits=9, query_blocks=cfg.query_blocks)
     meta = kb.select(F.col("case_id").alias("id"), F.col("intent").alias("kb_intent"),
                      F.col("customer_message").alias("customer"), F.col("support_response").alias("agent"))
     qi = messages.select(F.col("msg_id").alias("qid"), F.col("pred_intent").alias("q_intent"))

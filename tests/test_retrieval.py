@@ -1,5 +1,7 @@
 """Search: block-by-block query processing gives the single-block answer."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,8 +22,33 @@ def test_sparse_blocks_equal_single(spark):
     bench = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
     qw = FT.transform(FT.term_counts(bench, "item_id", "text", SPEC), vocab, SPEC).withColumnRenamed("id", "qid")
     one = RT.sparse_search(w, qw, 3, digits=9)
-    many = RT.sparse_search(w, qw, 3, digits=9, max_block_rows=50)
+    many = RT.sparse_search(w, qw, 3, digits=9, kb_blocks=3, query_blocks=5, postings=7)
     assert _rows(one) == _rows(many) and len(_rows(one)) > 0
+    # the definition: all products summed
+    sums = w.join(qw.select("qid", "term", F.col("weight").alias("wq")), "term").groupBy("qid", "id").agg(F.round(F.sum(F.col("weight") * F.col("wq")), 9).alias("similarity"))
+    assert _rows(RT.top_k(sums, "qid", "similarity", "id", 3)) == _rows(one)
+
+
+@pytest.mark.parametrize("k,postings", [(1, 4), (3, 2), (5, 512), (100, 3)])
+def test_search_block_skips_exactly(k, postings):
+    rng = np.random.default_rng(k)
+    terms = [f"t{x}" for x in range(30)]
+    cases = {f"c{n:02d}": {t: float(rng.integers(1, 5)) / 4 for t in rng.choice(terms, rng.integers(1, 6), replace=False)} for n in range(60)}
+    cases |= {f"d{n:02d}": cases["c07"] for n in range(15)}  # ties
+    queries = {n: {t: float(rng.integers(1, 4)) / 4 for t in rng.choice([*terms, "unknown"], 4, replace=False)} for n in range(12)}
+    q = [(n, t, w) for n, ws in queries.items() for t, w in ws.items()]
+    d = [(n, t, w) for n, ws in cases.items() for t, w in ws.items()]
+    rng.shuffle(d)
+    left = pa.table({"qid": [x[0] for x in q], "term": [x[1] for x in q], "wq": [x[2] for x in q]})
+    right = pa.table({"id": [str(x[0]) for x in d], "term": [str(x[1]) for x in d], "weight": [float(x[2]) for x in d]})
+    i, j, score = RT._search_block(left, right, k, 9, postings)
+    got = sorted((left["qid"][int(a)].as_py(), -s, right["id"][int(b)].as_py()) for a, b, s in zip(i, j, score, strict=True))
+    want = []
+    for n, ws in queries.items():
+        sums = [(-sum(w * own.get(t, 0) for t, w in ws.items()), c) for c, own in cases.items()]
+        want += [(n, s, c) for s, c in sorted(x for x in sums if x[0] < 0)[:k]]
+    assert got == sorted(want)
+    assert len(RT._search_block(left.slice(0, 0), right, k, 9, postings)[0]) == len(RT._search_block(left, right.slice(0, 0), k, 9, postings)[0]) == 0
 
 
 def test_dense_blocks_equal_single(spark):

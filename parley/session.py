@@ -51,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):  # one process: no other machine needs the folder
         d = tempfile.mkdtemp(prefix="parley-ckpt-", dir="/tmp")
         sc.setCheckpointDir(d)
         return sc.getCheckpointDir()

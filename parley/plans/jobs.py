@@ -20,7 +20,6 @@ from parley.operators import classify as C
 from parley.operators import external as X
 from parley.operators import features as FT
 from parley.operators import metrics as M
-from parley.operators import pairs as P
 from parley.operators import respond as RS
 from parley.operators import retrieval as RT
 from parley.operators import rules as R

@@ -1,5 +1,7 @@
 """Search: block-by-block query processing gives the single-block answer."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -51,6 +53,45 @@ def test_search_block_skips_exactly(k, postings):
     assert len(RT._search_block(left.slice(0, 0), right, k, 9, postings)[0]) == len(RT._search_block(left, right.slice(0, 0), k, 9, postings)[0]) == 0
 
 
+@pytest.mark.parametrize("dense,rows,entries", [(0, 2, 5), (3, 1024, 1 << 20), (1024, 3, 1)])
+def test_best_cases_in_slices(dense, rows, entries):
+    rng = np.random.default_rng(dense)
+    q, d = (rng.integers(0, 5, (n, 40)) / 4 * (rng.random((n, 40)) < 0.3) for n in (25, 70))
+    d[30:45] = d[29]  # ties
+    place = rng.permutation(70)
+    (qi, qt), (di, dt) = np.nonzero(q), np.nonzero(d)
+    i, j, score = RT._best_cases(qi, qt, q[qi, qt], 25, di, dt, d[di, dt], place, 4, 9, 8, dense, rows, entries)
+    want = [(x, y, s) for x in range(25) for y, s in sorted(((y, q[x] @ d[y]) for y in range(70)), key=lambda c: (-c[1], place[c[0]]))[:4] if s > 0]
+    assert list(zip(i.tolist(), j.tolist(), score.tolist(), strict=True)) == want
+
+
+def test_search_block_memory():
+    """Many queries that share frequent terms with every case: their matches are not held at once."""
+    n_q, n_d, n_t = 4000, 600, 30
+    q = pa.table({"qid": np.repeat(np.arange(n_q), n_t), "term": [f"t{x}" for x in range(n_t)] * n_q, "wq": np.full(n_q * n_t, 0.25)})
+    d = pa.table({"id": np.repeat(np.arange(n_d), n_t), "term": [f"t{x}" for x in range(n_t)] * n_d, "weight": np.full(n_d * n_t, 0.5)})
+    tracemalloc.start()
+    i, j, score = RT._search_block(q, d, 2, 9, 512)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(i) == 2 * n_q and set(d["id"].take(pa.array(j)).to_pylist()) == {0, 1} and set(score) == {3.75}
+    assert peak < 200e6
+
+
+def test_search_groups_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(RT, "QUERY_TERMS", 40)
+    monkeypatch.setattr(RT, "CASE_ROWS", 9)
+    rows = [(n, f"t{(n * k) % 23}", 1.0 + k / 8) for n in range(60) for k in range(1, 6)]
+    w = spark.createDataFrame(sorted({(n, t): x for n, t, x in rows}.items()), "key struct<id:long,term:string>, weight double").select("key.*", "weight")
+    vectors = RT._vectors(w, "id")
+    assert vectors.count() == 60 and RT._block_count(vectors, RT.CASE_ROWS, RT.CASE_TERMS) == 7
+    terms = w.count()
+    assert RT._block_count(vectors, RT.QUERY_ROWS, RT.QUERY_TERMS) == -(-terms // 40)
+    q = w.withColumnRenamed("id", "qid")
+    sums = w.join(q.select("qid", "term", F.col("weight").alias("wq")), "term").groupBy("qid", "id").agg(F.round(F.sum(F.col("weight") * F.col("wq")), 9).alias("similarity"))
+    assert _rows(RT.top_k(sums, "qid", "similarity", "id", 3)) == _rows(RT.sparse_search(w, q, 3, digits=9))
+
+
 def test_dense_blocks_equal_single(spark):
     emb = spark.read.parquet(f"{SF}/embeddings.parquet")
     q = emb.filter(F.col("label") < 3).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qvec"))

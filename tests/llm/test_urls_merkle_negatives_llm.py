@@ -94,6 +94,31 @@ def test_components_with_hubs(spark, monkeypatch):
     assert components.connected_components(spark.createDataFrame([], "a string, b string")).count() == 0
 
 
+@pytest.mark.parametrize("gathered", [1 << 18, 0])
+def test_components_load_on_the_driver(spark, monkeypatch, gathered):
+    """Edges are computed once, and a round of a small table is a few jobs (before: twice, 130 jobs)."""
+    monkeypatch.setattr(components, "GATHERED", gathered, raising=False)
+    monkeypatch.setattr(components, "HUBS", 8)
+    sc, seen = spark.sparkContext, spark.sparkContext.accumulator(0)
+    rows = [(0, k) for k in range(1, 60)] + [(101 + k, 100 + k) for k in range(30)] + [(7, 7), (900, 900), (901, None), (0, 1), (1, 0)]
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    edges = spark.createDataFrame(rows, "a long, b long").mapInArrow(counted, "a long, b long")
+    sc.setJobGroup(f"components-{gathered}", "")
+    try:
+        got = {r["id"]: r["component"] for r in components.connected_components(edges).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {k: 0 for k in range(60)} | {100 + k: 100 for k in range(31)} | {900: 900, 901: 901}
+    assert seen.value == len(rows)
+    if gathered:
+        assert len(sc.statusTracker().getJobIdsForGroup(f"components-{gathered}")) <= 60
+
+
 def h(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
